@@ -1,0 +1,85 @@
+"""Protection against a key that holds a large share of all rows.
+
+Spark's adaptive execution already splits a skewed sort-merge join, as long as both
+inputs come straight out of a shuffle and the side to split is not the optional side
+of an outer join. The helpers here serve the remaining cases (a window over the hot
+key, the optional side of an outer join). They look up the heaviest keys first:
+
+* the lookup is one narrow aggregate, combined before its shuffle;
+* at most ``max_keys`` rows of it are ever broadcast, whatever the data size;
+* a key that is not looked up holds fewer than ``min_rows`` rows, or at most
+  ``1 / max_keys`` of all rows, so it is safe to leave in one task.
+
+No row is dropped or sampled: the lookup only decides how a row is spread.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Salts are numbered 0..63 so that the set of salts in use fits one long.
+SALTS = 64
+
+
+@dataclass(frozen=True)
+class HeavyLimits:
+    min_rows: int = 1_000_000
+    max_keys: int = 1_000
+
+
+def heavy_keys(
+    df: DataFrame, key: str, *details: Column, limits: HeavyLimits = HeavyLimits()
+) -> DataFrame:
+    """The heaviest keys with ``details`` aggregated over each; at most ``max_keys`` rows."""
+    return (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"), *details)
+        .filter(F.col("_rows") >= limits.min_rows)
+        .orderBy(F.desc("_rows"), key)
+        .limit(limits.max_keys)
+        .drop("_rows")
+    )
+
+
+def salt_of(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
+def left_join_spread(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread_by: str,
+    limits: HeavyLimits = HeavyLimits(),
+) -> DataFrame:
+    """``left`` left-outer-join ``right`` on ``key`` where ``right`` may have a hot key.
+
+    Rows of a heavy right key are spread over salts by ``spread_by``, and the matching
+    left rows are repeated once per salt that really occurs, so no repeat is left
+    without a partner and the result equals the plain join.
+    """
+    used = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), salt_of(spread_by)))
+    heavy = F.broadcast(heavy_keys(right, key, used.alias("_salts"), limits=limits))
+
+    salted_right = (
+        right.join(heavy, key, "left")
+        .withColumn("_salt", F.when(F.col("_salts").isNotNull(), salt_of(spread_by)).otherwise(0))
+        .drop("_salts", spread_by)
+    )
+    occurring = F.filter(
+        F.sequence(F.lit(0), F.lit(SALTS - 1)),
+        lambda salt: F.getbit(F.col("_salts"), salt) == 1,
+    )
+    salted_left = (
+        left.join(heavy, key, "left")
+        .withColumn(
+            "_salt",
+            F.explode(F.when(F.col("_salts").isNotNull(), occurring).otherwise(F.array(F.lit(0)))),
+        )
+        .drop("_salts")
+    )
+    return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")
