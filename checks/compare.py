@@ -10,7 +10,6 @@ import time
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
 
 from checks.oracle import oracle_queries
 
@@ -30,18 +29,17 @@ def _rows(columns: list[str], rows) -> list[tuple]:
     return sorted((tuple(str(row[i]) for i in order) for row in rows))
 
 
-def compare(spark: SparkSession, con, data_dir: str, name: str, query, sql: str) -> str | None:
-    """None when rows, names, types and values agree, else what differs."""
-    mine = query(spark, data_dir)
-    theirs = con.sql(sql)
+def difference(mine, theirs) -> str | None:
+    """None when a DataFrame and a DuckDB relation agree in names, types and rows."""
     types = {
         field.name: SPARK_TYPES.get(
             field.dataType.simpleString(), field.dataType.simpleString().upper()
         )
         for field in mine.schema
     }
-    expected = {column: str(kind) for column, kind in zip(theirs.columns, theirs.types)}
-    expected = {column: kind.replace(" ", "") for column, kind in expected.items()}
+    expected = {
+        column: str(kind).replace(" ", "") for column, kind in zip(theirs.columns, theirs.types)
+    }
     if list(types) != list(expected):
         return f"columns {list(types)} vs {list(expected)}"
     if types != expected:
@@ -68,7 +66,7 @@ def main() -> int:
     for name in names:
         begin = time.time()
         try:
-            problem = compare(spark, con, data_dir, name, queries[name], oracles[name])
+            problem = difference(queries[name](spark, data_dir), con.sql(oracles[name]))
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failures += problem is not None

@@ -524,18 +524,24 @@ def _bodies() -> dict[str, str]:
     }
 
 
-def _with_needed(body: str) -> str:
-    """Prefix ``body`` with the common tables it reaches."""
+def _with_needed(body: str, given: frozenset[str] = frozenset()) -> str:
+    """Prefix ``body`` with the common tables it reaches, except those ``given``."""
     needed: set[str] = set()
     pending = [body]
     while pending:
         words = set(re.findall(r"\w+", pending.pop()))
-        found = (words & CTES.keys()) - needed
+        found = (words & CTES.keys()) - needed - given
         needed |= found
         pending.extend(CTES[name] for name in found)
     tables = [f"{name} AS ({sql})" for name, sql in CTES.items() if name in needed]
-    return f"WITH {', '.join(tables)} {body}"
+    return f"WITH {', '.join(tables)} {body}" if tables else body
 
 
 def oracle_queries() -> dict[str, str]:
     return {name: _with_needed(body) for name, body in _bodies().items()}
+
+
+def staged_queries() -> dict[str, str]:
+    """The same queries for a connection that already has the staging tables."""
+    given = frozenset(STAGING_CTE.values())
+    return {name: _with_needed(body, given) for name, body in _bodies().items()}

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+STARTUP_CONF = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
@@ -39,6 +41,6 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {"spark.ui.enabled": "false", **RUNTIME_CONF, **(conf or {})}.items():
+    for key, value in {**STARTUP_CONF, **RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
