@@ -494,7 +494,7 @@ def _bodies() -> dict[str, str]:
             FROM impact GROUP BY delivery_status""",
         "review_impact_top20": """
             SELECT * FROM impact
-            ORDER BY order_purchase_timestamp, order_id, review_score LIMIT 20""",
+            ORDER BY order_purchase_timestamp NULLS FIRST, order_id, review_score LIMIT 20""",
         "delay_bucket_summary": f"""
             SELECT delay_bucket, count(DISTINCT order_id) AS total_orders,
                    {mean_of('review_score')} AS avg_review_score,
