@@ -10,57 +10,61 @@ cleaning: timestamps are text, and rows the cleaning must remove are mixed in.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators.cleaning import with_delivery_kpis
 from mercato.operators.quality import dedup_reviews
 from mercato.schemas import ORDER_TIMESTAMPS, Tables
 
-HOUR = 3600
+# The columns read from each source table. Stating them spares a job per
+# table that would open the files only to find out their types.
+SOURCE_SCHEMAS = {
+    "customer": "c_custkey bigint",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_tax double",
+    "events": "event_id bigint, event_type string",
+}
+
+# Seconds from midnight of the order date to each step of its delivery.
+TO_PURCHASE = "o_orderkey % 86400"
+TO_APPROVAL = f"{TO_PURCHASE} + 3600 * (o_orderkey % 37)"
+TO_CARRIER = f"{TO_APPROVAL} + 3600 * ((o_orderkey * 7) % 97)"
+TO_CUSTOMER = f"{TO_CARRIER} + 3600 * ((o_orderkey * 11) % 613)"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(path)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return _read(spark, sf_dir, "customer").select(
-        key.alias("customer_id"),
-        (key - key % 2).alias("customer_unique_id"),
-        F.concat(F.lit("CITY_"), (key % 101).cast("string")).alias("customer_city"),
-        F.concat(F.lit("ST_"), (key % 20).cast("string")).alias("customer_state"),
+    return _read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS customer_id",
+        "c_custkey - c_custkey % 2 AS customer_unique_id",
+        "concat('CITY_', c_custkey % 101) AS customer_city",
+        "concat('ST_', c_custkey % 20) AS customer_state",
     )
 
 
 def orders_without_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    status = F.col("o_orderstatus")
-    to_purchase = key % 86400
-    to_approval = to_purchase + (key % 37) * HOUR
-    to_carrier = to_approval + ((key * 7) % 97) * HOUR
-    to_customer = to_carrier + ((key * 11) % 613) * HOUR
-
-    def after(seconds: Column) -> Column:
-        return F.timestamp_add("SECOND", seconds.cast("int"), F.col("o_orderdate"))
-
-    return _read(spark, sf_dir, "orders").select(
-        key.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.when(status == "F", "delivered")
-        .when(status == "O", "shipped")
-        .when(status == "P", "canceled")
-        .alias("order_status"),
-        after(to_purchase).alias("order_purchase_timestamp"),
-        after(to_approval).alias("order_approved_at"),
-        after(to_carrier).alias("order_delivered_carrier_date"),
-        F.when((status == "F") & (key % 211 != 0), after(to_customer)).alias(
-            "order_delivered_customer_date"
-        ),
-        F.timestamp_add(
-            "DAY", (F.lit(16) + F.col("o_custkey") % 20).cast("int"), F.col("o_orderdate")
-        ).alias("order_estimated_delivery_date"),
+    def after(seconds: str) -> str:
+        return f"timestampadd(SECOND, {seconds}, o_orderdate)"
+
+    received = "o_orderstatus = 'F' AND o_orderkey % 211 <> 0"
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' "
+        "WHEN 'P' THEN 'canceled' END AS order_status",
+        f"{after(TO_PURCHASE)} AS order_purchase_timestamp",
+        f"{after(TO_APPROVAL)} AS order_approved_at",
+        f"{after(TO_CARRIER)} AS order_delivered_carrier_date",
+        f"CASE WHEN {received} THEN {after(TO_CUSTOMER)} END AS order_delivered_customer_date",
+        "timestampadd(DAY, 16 + o_custkey % 20, o_orderdate) AS order_estimated_delivery_date",
     )
 
 
@@ -70,49 +74,39 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines keep their own number, which the source repeats within some orders."""
-    supplier, part = F.col("l_suppkey"), F.col("l_partkey")
-    seller = (
-        F.when(supplier % 4 == 0, supplier * 100000 + part % 97)
-        .when(supplier % 4 == 1, supplier * 100000 + part % 7)
-        .otherwise(supplier)
-    )
-    return _read(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        part.alias("product_id"),
-        seller.alias("seller_id"),
-        F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
-        (F.col("l_quantity") + F.col("l_tax")).cast("decimal(10,2)").alias("freight_value"),
+    return _read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS order_item_id",
+        "l_partkey AS product_id",
+        "CASE l_suppkey % 4 WHEN 0 THEN l_suppkey * 100000 + l_partkey % 97 "
+        "WHEN 1 THEN l_suppkey * 100000 + l_partkey % 7 ELSE l_suppkey END AS seller_id",
+        "cast(l_extendedprice AS decimal(10,2)) AS price",
+        "cast(l_quantity + l_tax AS decimal(10,2)) AS freight_value",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("p_type")
-    unknown = F.col("p_partkey") % 13 == 0
-    return _read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(unknown, "unknown").otherwise(kind).alias("product_category_name"),
-        F.when(~unknown & (kind != "PROMO"), F.concat(F.lit("en_"), F.lower(kind))).alias(
-            "product_category_name_english"
-        ),
+    return _read(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "CASE WHEN p_partkey % 13 = 0 THEN 'unknown' ELSE p_type END AS product_category_name",
+        "CASE WHEN p_partkey % 13 <> 0 AND p_type <> 'PROMO' THEN concat('en_', lower(p_type)) "
+        "END AS product_category_name_english",
     )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    numbers = F.when(key % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return _read(spark, sf_dir, "orders").select(
-        key.alias("order_id"), F.explode(numbers).alias("payment_sequential")
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "explode(if(o_orderkey % 5 = 0, array(1, 2), array(1))) AS payment_sequential",
     )
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews before de-duplication: some share a ``review_id``, some share an order."""
-    key, kind = F.col("event_id"), F.col("event_type")
-    return _read(spark, sf_dir, "events").select(
-        (key - F.when(key % 50 == 49, 1).otherwise(0)).alias("review_id"),
-        (key - F.when(key % 10 == 9, 1).otherwise(0)).alias("order_id"),
-        F.when(kind == "error", 1).when(kind == "click", 4).otherwise(5).alias("review_score"),
+    return _read(spark, sf_dir, "events").selectExpr(
+        "event_id - if(event_id % 50 = 49, 1, 0) AS review_id",
+        "event_id - if(event_id % 10 = 9, 1, 0) AS order_id",
+        "CASE event_type WHEN 'error' THEN 1 WHEN 'click' THEN 4 ELSE 5 END AS review_score",
     )
 
 
@@ -127,62 +121,59 @@ def staging_tables(spark: SparkSession, sf_dir: str) -> Tables:
     }
 
 
-def _with_copies(df: DataFrame, repeated: Column) -> DataFrame:
-    """Rows meeting ``repeated`` appear twice."""
-    copies = F.when(repeated, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return df.withColumn("_copy", F.explode(copies)).drop("_copy")
-
+def _with_copies(df: DataFrame, repeated: str) -> DataFrame:
+    """Rows meeting the condition ``repeated`` appear twice."""
+    copies = f"explode(if({repeated}, array(1, 2), array(1))) AS _copy"
+    return df.selectExpr("*", copies).drop("_copy")
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    parts = _read(spark, sf_dir, "part")
-    kind = F.col("p_type")
 
-    raw_orders = orders_without_kpis(spark, sf_dir).withColumns(
-        {name: F.col(name).cast("string") for name in ORDER_TIMESTAMPS}
-    )
+def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of some orders stand beside a copy with an amount that must be refused.
 
-    # Beside each line of some orders stand copies with an amount that must be refused:
-    # 1 no price, 2 zero price, 3 negative price, 4 no freight, 5 negative freight.
-    order = F.col("order_id")
-    refused = [
-        F.when(order % 29 == fault, F.array(F.lit(0), F.lit(fault))) for fault in range(1, 6)
-    ]
-    fault = F.col("_fault")
-    raw_items = (
+    Faults: 1 no price, 2 zero price, 3 negative price, 4 no freight, 5 negative freight.
+    """
+    faulty = "if(order_id % 29 BETWEEN 1 AND 5, array(0, cast(order_id % 29 AS int)), array(0))"
+    return (
         order_items(spark, sf_dir)
-        .withColumn("_fault", F.explode(F.coalesce(*refused, F.array(F.lit(0)))))
-        .withColumns(
-            {
-                "price": F.when(fault == 2, F.lit(0).cast("decimal(10,2)"))
-                .when(fault == 3, (-F.col("price")).cast("decimal(10,2)"))
-                .when(fault != 1, F.col("price")),
-                "freight_value": F.when(fault == 5, (-F.col("freight_value")).cast("decimal(10,2)"))
-                .when(fault != 4, F.col("freight_value")),
-            }
+        .selectExpr("*", f"explode({faulty}) AS _fault")
+        .selectExpr(
+            "order_id",
+            "order_item_id",
+            "product_id",
+            "seller_id",
+            "cast(CASE _fault WHEN 1 THEN NULL WHEN 2 THEN 0 WHEN 3 THEN -price ELSE price END "
+            "AS decimal(10,2)) AS price",
+            "cast(CASE _fault WHEN 4 THEN NULL WHEN 5 THEN -freight_value ELSE freight_value END "
+            "AS decimal(10,2)) AS freight_value",
         )
-        .drop("_fault")
     )
 
-    raw_products = parts.select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(F.col("p_partkey") % 13 != 0, kind).alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        F.length("p_brand").alias("product_description_lenght"),
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    raw_orders = orders_without_kpis(spark, sf_dir).withColumns(
+        {name: F.col(name).cast("string") for name in ORDER_TIMESTAMPS}
+    )
+    raw_products = _read(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "if(p_partkey % 13 <> 0, p_type, NULL) AS product_category_name",
+        "length(p_name) AS product_name_lenght",
+        "length(p_brand) AS product_description_lenght",
     )
     translation = (
-        parts.filter(kind != "PROMO")
-        .select(
-            kind.alias("product_category_name"),
-            F.concat(F.lit("en_"), F.lower(kind)).alias("product_category_name_english"),
+        _read(spark, sf_dir, "part")
+        .filter("p_type <> 'PROMO'")
+        .selectExpr(
+            "p_type AS product_category_name",
+            "concat('en_', lower(p_type)) AS product_category_name_english",
         )
         .distinct()
     )
     return {
-        "orders": _with_copies(raw_orders, order % 100 == 0),
-        "order_items": _with_copies(raw_items, order % 101 == 0),
-        "products": _with_copies(raw_products, F.col("product_id") % 10 == 0),
-        "customers": _with_copies(customers(spark, sf_dir), F.col("customer_id") % 10 == 0),
-        "payments": _with_copies(payments(spark, sf_dir), order % 103 == 0),
-        "reviews": _with_copies(reviews(spark, sf_dir), F.col("review_id") % 107 == 0),
+        "orders": _with_copies(raw_orders, "order_id % 100 = 0"),
+        "order_items": _with_copies(raw_order_items(spark, sf_dir), "order_id % 101 = 0"),
+        "products": _with_copies(raw_products, "product_id % 10 = 0"),
+        "customers": _with_copies(customers(spark, sf_dir), "customer_id % 10 = 0"),
+        "payments": _with_copies(payments(spark, sf_dir), "order_id % 103 = 0"),
+        "reviews": _with_copies(reviews(spark, sf_dir), "review_id % 107 = 0"),
         "category_translation": translation,
     }
