@@ -93,10 +93,25 @@ def review_totals(reviews: DataFrame) -> DataFrame:
     )
 
 
-def order_facts(tables: Tables, with_customer: bool = True) -> DataFrame:
-    """One row per delivered order with its customer and review totals.
+def with_review_totals(orders: DataFrame, tables: Tables) -> DataFrame:
+    """Add the review totals of each row's order; 0 without review.
 
     ``fan_out`` is the number of review rows the order has in the row-level marts.
+    """
+
+    def none_as_zero(name: str) -> Column:
+        return F.coalesce(name, F.lit(0)).alias(name)
+
+    return orders.join(review_totals(tables["reviews"]), "order_id", "left").select(
+        *orders.columns,
+        F.coalesce("reviews", F.lit(1)).alias("fan_out"),
+        *map(none_as_zero, ("scored", "score_sum", "low", "high")),
+    )
+
+
+def delivered_facts(tables: Tables, with_customer: bool = True) -> DataFrame:
+    """One narrow row per delivered order, with its customer's person and state.
+
     ``has_customer`` tells sales (which needs the customer) from delivery (which does
     not). Summaries that use no customer column leave the customer join out.
     """
@@ -115,34 +130,60 @@ def order_facts(tables: Tables, with_customer: bool = True) -> DataFrame:
             "customer_state",
             F.coalesce("_known", F.lit(False)).alias("has_customer"),
         ]
-
-    def none_as_zero(name: str) -> Column:
-        return F.coalesce(name, F.lit(0)).alias(name)
-
-    return orders.join(review_totals(tables["reviews"]), "order_id", "left").select(
+    return orders.select(
         "order_id",
         *customer_columns,
         "purchase_month",
         "delivery_days",
         delay.alias("delay_days"),
         "is_late",
-        F.coalesce("reviews", F.lit(1)).alias("fan_out"),
-        *map(none_as_zero, ("scored", "score_sum", "low", "high")),
     )
 
 
-def item_totals(items: DataFrame, *group: str) -> DataFrame:
-    """Items and money per order (and ``group``); many items of one order combine early."""
-    return items.groupBy("order_id", *group).agg(
+def order_facts(tables: Tables, with_customer: bool = True) -> DataFrame:
+    """One row per delivered order with its customer and review totals."""
+    return with_review_totals(delivered_facts(tables, with_customer), tables)
+
+
+def _item_measures() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("items"),
         F.sum(cents(F.col("price"))).alias("price"),
         F.sum(cents(F.col("freight_value"))).alias("freight"),
-    )
+    ]
 
 
-def sales_kpis(tables: Tables, items: DataFrame, group: str) -> DataFrame:
-    """All sales measures per ``group``, from one row per order and group in ``items``."""
+def month_lines(tables: Tables) -> DataFrame:
+    """One row per delivered order with items. The items combine before they are joined."""
+    items = tables["order_items"].groupBy("order_id").agg(*_item_measures())
     facts = shared(tables, "order_facts", order_facts).filter("has_customer")
+    return facts.join(items, "order_id")
+
+
+def group_lines(tables: Tables, items: DataFrame, group: str) -> DataFrame:
+    """One row per delivered order and ``group`` of its items.
+
+    Orders and items meet in one shuffle by order, which the grouping and the review
+    join then reuse. Both inputs of that first join come straight out of a shuffle, so an
+    order with very many items is split, and is down to one row per group afterwards.
+    """
+    ready = "order_facts" in tables
+    orders = tables["order_facts"] if ready else delivered_facts(tables)
+    kept = ["order_id", "customer_unique_id", "delivery_days", "is_late"]
+    if ready:
+        kept += ["fan_out", "scored", "score_sum", "low"]
+    lines = (
+        orders.filter("has_customer")
+        .select(*kept)
+        .join(items.select("order_id", group, "price", "freight_value"), "order_id")
+        .groupBy(*kept, group)
+        .agg(*_item_measures())
+    )
+    return lines if ready else with_review_totals(lines, tables)
+
+
+def sales_kpis(lines: DataFrame, group: str) -> DataFrame:
+    """All sales measures per ``group``, from one row per order and group."""
     rows = F.col("items") * F.col("fan_out")
     late = F.col("is_late") == 1
     days = F.col("delivery_days")
@@ -157,13 +198,9 @@ def sales_kpis(tables: Tables, items: DataFrame, group: str) -> DataFrame:
         "price": F.col("price") * F.col("fan_out"),
         "freight": F.col("freight") * F.col("fan_out"),
     }
-    per_customer = (
-        facts.join(items, "order_id")
-        .groupBy(group, "customer_unique_id")
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            *[F.sum(value).alias(name) for name, value in measures.items()],
-        )
+    per_customer = lines.groupBy(group, "customer_unique_id").agg(
+        F.count(F.lit(1)).alias("orders"),
+        *[F.sum(value).alias(name) for name, value in measures.items()],
     )
     totals = per_customer.groupBy(group).agg(
         F.count("customer_unique_id").alias("unique_customers"),
@@ -190,8 +227,7 @@ def sales_kpis(tables: Tables, items: DataFrame, group: str) -> DataFrame:
 
 def monthly_kpis(tables: Tables) -> DataFrame:
     """Sales per purchase month. Needs no product, so products are not joined."""
-    kpis = sales_kpis(tables, item_totals(tables["order_items"]), "purchase_month")
-    return kpis.select(
+    return sales_kpis(month_lines(tables), "purchase_month").select(
         "purchase_month",
         "total_orders",
         "unique_customers",
@@ -224,14 +260,14 @@ GROUP_MEASURES = (
 def category_performance(tables: Tables) -> DataFrame:
     """Sales per English category; items of unknown products count as ``unknown``."""
     category = "product_category_name_english"
-    items = item_totals(items_with_category(tables), category)
-    return sales_kpis(tables, items, category).select(category, *GROUP_MEASURES)
+    lines = group_lines(tables, items_with_category(tables), category)
+    return sales_kpis(lines, category).select(category, *GROUP_MEASURES)
 
 
 def seller_performance(tables: Tables) -> DataFrame:
     """Sales per seller. Needs no product, so products are not joined."""
-    items = item_totals(tables["order_items"], "seller_id")
-    return sales_kpis(tables, items, "seller_id").select(
+    lines = group_lines(tables, tables["order_items"], "seller_id")
+    return sales_kpis(lines, "seller_id").select(
         "seller_id", *GROUP_MEASURES, "low_review_item_rate_pct"
     )
 
