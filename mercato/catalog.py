@@ -59,7 +59,10 @@ def save_staging(spark: SparkSession, tables: Tables) -> Tables:
 
 
 def save_marts(spark: SparkSession, tables: Tables) -> None:
-    """Save every mart as ``analytics.<view name>``."""
+    """Save every mart as ``analytics.<view name>``; a mart over another reads its table."""
     create_namespaces(spark)
-    for name, build in VIEWS.items():
-        _save(build(tables), f"{ANALYTICS}.{name}")
+    tables = dict(tables)
+    for view, build in VIEWS.items():
+        name = f"{ANALYTICS}.{view}"
+        _save(build(tables), name)
+        tables[view.removeprefix("vw_")] = spark.table(name)

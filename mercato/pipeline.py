@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,22 +112,29 @@ def stage(spark: SparkSession, raw_dir: str, out_dir: str) -> Tables:
     return tables
 
 
+def shared_dir(spark: SparkSession, out_dir: str) -> str:
+    """Where shared results go: the cluster's checkpoint folder, else beside the marts."""
+    checkpoints = spark.conf.get("spark.checkpoint.dir", None)
+    if checkpoints:
+        return f"{checkpoints.rstrip('/')}/mercato-{uuid.uuid4()}"
+    return f"{out_dir}/shared"
+
+
 def write_marts(
     spark: SparkSession, tables: Tables, out_dir: str, pages: Iterable[str] = tuple(PAGES)
 ) -> None:
     """Write one dataset per mart under ``<out_dir>/<page>/<mart>``.
 
-    Results used by several marts are written once under ``<out_dir>/shared``, so a lost
-    executor costs at most the step at hand and no join runs twice. Pages are separate
-    jobs over the same data.
+    Results used by several marts are written once to the shared folder and read back,
+    so no join runs twice and a lost executor costs at most the step at hand.
     """
     pages = list(pages)
     tables = dict(tables)
+    keep = shared_dir(spark, out_dir)
     for name, build in SHARED.items():
         if any(name in PAGE_SHARED[page] for page in pages):
-            path = f"{out_dir}/shared/{name}"
-            files.write_table(build(tables), path)
-            tables[name] = spark.read.parquet(path)
+            files.write_table(build(tables), f"{keep}/{name}")
+            tables[name] = spark.read.parquet(f"{keep}/{name}")
     for page in pages:
         for name, build in PAGES[page].items():
             ready = tables[name] if name in tables else build(tables)

@@ -116,13 +116,9 @@ def measure(name: str) -> Column:
     return measures[name]().alias(name)
 
 
-def reviewed_facts(tables: Tables) -> DataFrame:
-    """Delivered orders with at least one scored review."""
-    return shared(tables, "order_facts", order_facts).filter(F.col("scored") > 0)
-
-
-def reviewed_totals(tables: Tables, *group: Column | str) -> DataFrame:
-    return delivery_totals(reviewed_facts(tables), F.col("scored"), *group)
+def reviewed_totals(facts: DataFrame, *group: Column | str) -> DataFrame:
+    """Sums over the scored reviews of delivered orders."""
+    return delivery_totals(facts.filter(F.col("scored") > 0), F.col("scored"), *group)
 
 
 STATE_REVIEW_MEASURES = (
@@ -140,8 +136,9 @@ def state_logistics_risk(
     """Review impact and risk segment of each state with enough orders."""
     late_pct = exact_pct(F.col("late_rows"), F.col("rows"))
     avg_review = mean(F.col("score_sum"), F.col("scored"))
+    facts = shared(tables, "order_facts", order_facts)
     return (
-        reviewed_totals(tables, "customer_state")
+        reviewed_totals(facts, "customer_state")
         .filter(F.col("total_orders") >= limits.min_orders)
         .select(
             "customer_state",

@@ -165,17 +165,17 @@ def state_delivery_kpis(tables: Tables) -> DataFrame:
     )
 
 
-def _order_only(tables: Tables) -> Tables:
-    """Tables for summaries that use no customer column; spares the customer join."""
-    if "order_facts" in tables:
-        return tables
-    return {**tables, "order_facts": sales.order_facts(tables, with_customer=False)}
+def _order_facts_only(tables: Tables) -> DataFrame:
+    """Facts for summaries that use no customer column; spares the customer join."""
+    return sales.shared(
+        tables, "order_facts", lambda given: sales.order_facts(given, with_customer=False)
+    )
 
 
 def delivery_status_summary(tables: Tables) -> DataFrame:
     status = delivery_status(F.col("is_late")).alias("delivery_status")
     return (
-        delivery.reviewed_totals(_order_only(tables), status)
+        delivery.reviewed_totals(_order_facts_only(tables), status)
         .select(
             "delivery_status",
             "total_orders",
@@ -200,7 +200,7 @@ def delay_bucket_summary(tables: Tables) -> DataFrame:
     bucket = delay_bucket(delay).alias("delay_bucket")
     position = delay_bucket_sort(delay).alias("_position")
     return (
-        delivery.reviewed_totals(_order_only(tables), bucket, position)
+        delivery.reviewed_totals(_order_facts_only(tables), bucket, position)
         .orderBy("_position")
         .select(
             "delay_bucket",
@@ -215,8 +215,9 @@ def delay_bucket_summary(tables: Tables) -> DataFrame:
 def state_review_impact(
     tables: Tables, limits: StateThresholds = StateThresholds()
 ) -> DataFrame:
+    facts = sales.shared(tables, "order_facts", sales.order_facts)
     return (
-        delivery.reviewed_totals(tables, "customer_state")
+        delivery.reviewed_totals(facts, "customer_state")
         .filter(F.col("total_orders") >= limits.min_orders)
         .select(
             "customer_state",

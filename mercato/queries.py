@@ -15,9 +15,21 @@ from mercato.sources import star
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _over(source: Callable[[SparkSession, str], Tables], build: Callable[[Tables], DataFrame]):
+class _OnDemand(dict):
+    """Tables built when first asked for, so a query opens only the files it reads."""
+
+    def __init__(self, builders: dict[str, Query], spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._build = lambda name: builders[name](spark, sf_dir)
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._build(name)
+        return self[name]
+
+
+def _over(builders: dict[str, Query], build: Callable[[Tables], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(source(configure(spark), sf_dir))
+        return build(_OnDemand(builders, configure(spark), sf_dir))
 
     return query
 
@@ -26,13 +38,6 @@ def _profile_of(name: str) -> Callable[[Tables], DataFrame]:
     return lambda tables: profile.profile(tables[name])
 
 
-def _with_raw_reviews(source_tables: Callable[[SparkSession, str], Tables]):
-    def tables(spark: SparkSession, sf_dir: str) -> Tables:
-        return {**source_tables(spark, sf_dir), "reviews": star.reviews(spark, sf_dir)}
-
-    return tables
-
-
 # Operators that work on the tables as they arrive.
 ON_RAW: dict[str, Callable[[Tables], DataFrame]] = {
     **{f"profile_{name}": _profile_of(name) for name in STAGING_TABLES},
@@ -93,12 +98,10 @@ ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 def all_queries() -> dict[str, Query]:
-    repeated = _with_raw_reviews(star.staging_tables)
-    groups = (
-        (star.raw_tables, ON_RAW),
-        (repeated, ON_REPEATED_REVIEWS),
-        (star.staging_tables, ON_STAGING),
-    )
+    repeated = {**star.STAGING, "reviews": star.reviews}
+    groups = ((star.RAW, ON_RAW), (repeated, ON_REPEATED_REVIEWS), (star.STAGING, ON_STAGING))
     return {
-        name: _over(source, build) for source, builds in groups for name, build in builds.items()
+        name: _over(builders, build)
+        for builders, builds in groups
+        for name, build in builds.items()
     }

@@ -4,8 +4,8 @@ The star schema has no deliveries and no reviews, so both follow from key arithm
 each step of a delivery is a fixed number of hours after the one before, and each
 stream event is read as a review of the order that carries its number.
 
-``staging_tables`` are the cleaned tables. ``raw_tables`` are the same tables before
-cleaning: timestamps are text, and rows the cleaning must remove are mixed in.
+``STAGING`` are the cleaned tables. ``RAW`` are the same tables before cleaning:
+timestamps are text, and rows the cleaning must remove are mixed in.
 """
 
 from __future__ import annotations
@@ -110,15 +110,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staging_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return {
-        "orders": orders(spark, sf_dir),
-        "order_items": order_items(spark, sf_dir),
-        "products": products(spark, sf_dir),
-        "customers": customers(spark, sf_dir),
-        "payments": payments(spark, sf_dir),
-        "reviews": dedup_reviews(reviews(spark, sf_dir)),
-    }
+def distinct_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_reviews(reviews(spark, sf_dir))
 
 
 def _with_copies(df: DataFrame, repeated: str) -> DataFrame:
@@ -133,7 +126,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     Faults: 1 no price, 2 zero price, 3 negative price, 4 no freight, 5 negative freight.
     """
     faulty = "if(order_id % 29 BETWEEN 1 AND 5, array(0, cast(order_id % 29 AS int)), array(0))"
-    return (
+    lines = (
         order_items(spark, sf_dir)
         .selectExpr("*", f"explode({faulty}) AS _fault")
         .selectExpr(
@@ -147,19 +140,40 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             "AS decimal(10,2)) AS freight_value",
         )
     )
+    return _with_copies(lines, "order_id % 101 = 0")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    raw_orders = orders_without_kpis(spark, sf_dir).withColumns(
-        {name: F.col(name).cast("string") for name in ORDER_TIMESTAMPS}
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = {name: F.col(name).cast("string") for name in ORDER_TIMESTAMPS}
+    return _with_copies(
+        orders_without_kpis(spark, sf_dir).withColumns(text), "order_id % 100 = 0"
     )
-    raw_products = _read(spark, sf_dir, "part").selectExpr(
+
+
+def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _read(spark, sf_dir, "part").selectExpr(
         "p_partkey AS product_id",
         "if(p_partkey % 13 <> 0, p_type, NULL) AS product_category_name",
         "length(p_name) AS product_name_lenght",
         "length(p_brand) AS product_description_lenght",
     )
-    translation = (
+    return _with_copies(parts, "product_id % 10 = 0")
+
+
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_copies(customers(spark, sf_dir), "customer_id % 10 = 0")
+
+
+def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_copies(payments(spark, sf_dir), "order_id % 103 = 0")
+
+
+def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_copies(reviews(spark, sf_dir), "review_id % 107 = 0")
+
+
+def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
         _read(spark, sf_dir, "part")
         .filter("p_type <> 'PROMO'")
         .selectExpr(
@@ -168,12 +182,30 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
         )
         .distinct()
     )
-    return {
-        "orders": _with_copies(raw_orders, "order_id % 100 = 0"),
-        "order_items": _with_copies(raw_order_items(spark, sf_dir), "order_id % 101 = 0"),
-        "products": _with_copies(raw_products, "product_id % 10 = 0"),
-        "customers": _with_copies(customers(spark, sf_dir), "customer_id % 10 = 0"),
-        "payments": _with_copies(payments(spark, sf_dir), "order_id % 103 = 0"),
-        "reviews": _with_copies(reviews(spark, sf_dir), "review_id % 107 = 0"),
-        "category_translation": translation,
-    }
+
+
+STAGING = {
+    "orders": orders,
+    "order_items": order_items,
+    "products": products,
+    "customers": customers,
+    "payments": payments,
+    "reviews": distinct_reviews,
+}
+RAW = {
+    "orders": raw_orders,
+    "order_items": raw_order_items,
+    "products": raw_products,
+    "customers": raw_customers,
+    "payments": raw_payments,
+    "reviews": raw_reviews,
+    "category_translation": category_translation,
+}
+
+
+def staging_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return {name: build(spark, sf_dir) for name, build in STAGING.items()}
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return {name: build(spark, sf_dir) for name, build in RAW.items()}
