@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
-        8,
+        4,
         {
             "spark.sql.warehouse.dir": str(home / "warehouse"),
             "spark.driver.memory": "4g",

@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from mercato.operators.cleaning import with_delivery_kpis
 
-ORDERS, ITEMS, REVIEWS, CUSTOMERS, PRODUCTS = 1500, 3000, 900, 400, 60
+ORDERS, ITEMS, REVIEWS, CUSTOMERS, PRODUCTS = 1500, 1800, 480, 400, 60
 SCHEMAS = {
     "orders": "order_id string, customer_id string, order_status string, "
     "order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz, "

@@ -54,8 +54,9 @@ def test_quality_reports_are_written(spark, run):
     assert profiled.count() == sum(columns_per_table)
 
 
-def test_one_page_writes_only_what_it_needs(spark, run, tmp_path):
+def test_one_page_writes_only_what_it_needs(spark, run, tmp_path, monkeypatch):
     tables, _ = run
+    monkeypatch.setattr(pipeline, "shared_dir", lambda spark, out_dir: f"{out_dir}/shared")
     pipeline.write_marts(spark, tables, str(tmp_path), ["cohort"])
     assert sorted(p.name for p in tmp_path.iterdir()) == ["cohort", "shared"]
     assert sorted(p.name for p in (tmp_path / "shared").iterdir()) == [
@@ -63,6 +64,21 @@ def test_one_page_writes_only_what_it_needs(spark, run, tmp_path):
     ]
 
 
+class _Session:
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, key, default):
+        return self.settings.get(key, default)
+
+
+def test_shared_results_go_to_the_checkpoint_folder():
+    named = _Session(**{"spark.checkpoint.dir": "hdfs://x/checkpoints/"})
+    assert pipeline.shared_dir(named, "out").startswith("hdfs://x/checkpoints/mercato-")
+    assert pipeline.shared_dir(_Session(), "out") == "out/shared"
+
+
 def test_broken_key_stops_the_run(spark, run, tmp_path):
     tables, _ = run
     twice = {**tables, "products": tables["products"].union(tables["products"])}
