@@ -7,7 +7,9 @@ key, the optional side of an outer join). They look up the heaviest keys first:
 
 * the lookup is one narrow aggregate, combined before its shuffle;
 * at most ``max_keys`` rows of it are ever broadcast, whatever the data size;
-* a key that is not looked up holds fewer than ``min_rows`` rows, or at most
+* the rows of a key that is found are spread over as many salts as keep each at about
+  ``min_rows`` rows;
+* a key that is not found holds fewer than ``min_rows`` rows, or at most
   ``1 / max_keys`` of all rows, so it is safe to leave in one task.
 
 No row is dropped or sampled: the lookup only decides how a row is spread.
@@ -20,20 +22,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Salts are numbered 0..63 so that the set of salts in use fits one long.
-SALTS = 64
+SALTS = "_salts"
 
 
 @dataclass(frozen=True)
 class HeavyLimits:
     min_rows: int = 1_000_000
-    max_keys: int = 1_000
+    max_keys: int = 100_000
 
 
 def heavy_keys(
     df: DataFrame, key: str, *details: Column, limits: HeavyLimits = HeavyLimits()
 ) -> DataFrame:
-    """The heaviest keys with ``details`` aggregated over each; at most ``max_keys`` rows."""
+    """The heaviest keys, the salts each needs, and ``details`` aggregated over each."""
+    salts = F.ceil(F.col("_rows") / limits.min_rows).cast("int")
     return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
@@ -41,12 +43,15 @@ def heavy_keys(
         .filter(F.col("_rows") >= limits.min_rows)
         .orderBy(F.desc("_rows"), key)
         .limit(limits.max_keys)
+        .withColumn(SALTS, salts)
         .drop("_rows")
     )
 
 
-def salt_of(*columns: str) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+def salt_by(column: str) -> Column:
+    """The salt of a row beside its key's ``_salts``; 0 where the key is not heavy."""
+    salt = F.pmod(F.xxhash64(column), F.col(SALTS)).cast("int")
+    return F.when(F.col(SALTS).isNotNull(), salt).otherwise(0)
 
 
 def left_join_spread(
@@ -59,27 +64,22 @@ def left_join_spread(
     """``left`` left-outer-join ``right`` on ``key`` where ``right`` may have a hot key.
 
     Rows of a heavy right key are spread over salts by ``spread_by``, and the matching
-    left rows are repeated once per salt that really occurs, so no repeat is left
-    without a partner and the result equals the plain join.
+    left rows are repeated once per salt. A repeat that meets no right row is dropped: a
+    heavy key has right rows under some salt, so its left rows are never lost.
     """
-    used = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), salt_of(spread_by)))
-    heavy = F.broadcast(heavy_keys(right, key, used.alias("_salts"), limits=limits))
-
+    heavy = F.broadcast(heavy_keys(right, key, limits=limits))
     salted_right = (
         right.join(heavy, key, "left")
-        .withColumn("_salt", F.when(F.col("_salts").isNotNull(), salt_of(spread_by)).otherwise(0))
-        .drop("_salts", spread_by)
+        .withColumns({"_salt": salt_by(spread_by), "_met": F.lit(True)})
+        .drop(SALTS, spread_by)
     )
-    occurring = F.filter(
-        F.sequence(F.lit(0), F.lit(SALTS - 1)),
-        lambda salt: F.getbit(F.col("_salts"), salt) == 1,
+    all_salts = F.sequence(F.lit(0), F.col(SALTS) - 1)
+    salted_left = left.join(heavy, key, "left").withColumn(
+        "_salt",
+        F.explode(F.when(F.col(SALTS).isNotNull(), all_salts).otherwise(F.array(F.lit(0)))),
     )
-    salted_left = (
-        left.join(heavy, key, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_salts").isNotNull(), occurring).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_salts")
+    return (
+        salted_left.join(salted_right, [key, "_salt"], "left")
+        .filter(F.col(SALTS).isNull() | F.col("_met").isNotNull())
+        .drop("_salt", SALTS, "_met")
     )
-    return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")

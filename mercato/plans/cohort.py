@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import dates
 from mercato.functions.rates import pct
-from mercato.operators.skew import HeavyLimits, heavy_keys, salt_of
+from mercato.operators.skew import HeavyLimits, heavy_keys, salt_by
 from mercato.plans.sales import delivered, shared
 from mercato.schemas import Tables
 
@@ -61,13 +61,12 @@ def customer_cohorts(tables: Tables, limits: HeavyLimits = HeavyLimits()) -> Dat
     orders = person_orders(tables)
     first_month = F.min("purchase_month").alias("_heavy_first")
     heavy = heavy_keys(orders, PERSON, first_month, limits=limits)
-    known = F.col("_heavy_first")
-    spread = F.when(known.isNotNull(), salt_of("order_id")).otherwise(0)
     window = Window.partitionBy(PERSON, "_salt")
+    first = F.coalesce("_heavy_first", F.min("purchase_month").over(window))
     return with_cohort_columns(
         orders.join(F.broadcast(heavy), PERSON, "left")
-        .withColumn("_salt", spread)
-        .withColumn("cohort_month", F.coalesce(known, F.min("purchase_month").over(window)))
+        .withColumn("_salt", salt_by("order_id"))
+        .withColumn("cohort_month", first)
     )
 
 

@@ -39,7 +39,7 @@ def test_same_as_sql(data, name):
         ("customer_cohorts", cohort.customer_cohorts),
     ],
 )
-@pytest.mark.parametrize("limits", [LOW, HeavyLimits(1, 2), HeavyLimits(1, 1000)])
+@pytest.mark.parametrize("limits", [LOW, HeavyLimits(1, 2), HeavyLimits(2, 1000)])
 def test_spread_keys_give_the_same_rows(data, name, build, limits):
     tables, con = data
     assert difference(build(tables, limits), con.sql(staged_queries()[name])) is None
@@ -49,21 +49,29 @@ def test_heavy_keys_are_bounded_and_largest_first(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 10).alias("k"), "id"
     )
-    found = skew.heavy_keys(df, "k", F.max("id").alias("m"), limits=HeavyLimits(50, 3))
-    assert rows(found) == [(0, 998), (1, 991), (3, 993)]
+    found = skew.heavy_keys(df, "k", F.max("id").alias("m"), limits=HeavyLimits(60, 3))
+    assert rows(found, "k", "m", "_salts") == [(0, 998, 9), (1, 991, 2), (3, 993, 2)]
     assert skew.heavy_keys(df, "k", limits=HeavyLimits(501, 3)).count() == 0
 
 
-def test_spread_join_spreads_the_hot_key(spark):
-    left = spark.range(5).withColumnRenamed("id", "k")
+@pytest.mark.parametrize("limits", [HeavyLimits(1000, 5), HeavyLimits(3, 5), HeavyLimits(1, 50)])
+def test_spread_join_equals_plain_join(spark, limits):
+    left = spark.range(12).withColumnRenamed("id", "k")
     right = spark.range(2000).select(
         F.when(F.col("id") < 1500, 1).otherwise(F.col("id") % 9).alias("k"),
         F.col("id").alias("r"),
         F.col("id").alias("value"),
     )
-    joined = skew.left_join_spread(left, right, "k", "r", HeavyLimits(1000, 5))
-    plain = left.join(right.drop("r"), "k", "left")
-    assert rows(joined) == rows(plain)
+    joined = skew.left_join_spread(left, right, "k", "r", limits)
+    assert rows(joined) == rows(left.join(right.drop("r"), "k", "left"))
+
+
+def test_spread_groups_stay_near_the_limit(spark):
+    df = spark.range(20_000).select(F.lit(7).alias("k"), "id")
+    heavy = skew.heavy_keys(df, "k", limits=HeavyLimits(1000, 5))
+    sizes = df.join(heavy, "k").groupBy(skew.salt_by("id").alias("s")).count()
+    assert sizes.count() == 20
+    assert sizes.agg(F.max("count")).first()[0] < 1500
 
 
 def test_null_keys_do_not_match(spark):
