@@ -62,7 +62,8 @@ def plain_retention(tables: Tables) -> DataFrame:
         .groupBy("cohort_month", "cohort_index")
         .agg(F.count_distinct(cohort.PERSON).alias("retained"))
     )
-    sizes = counts.filter("cohort_index = 0").select("cohort_month", F.col("retained").alias("size"))
+    size = F.col("retained").alias("size")
+    sizes = counts.filter("cohort_index = 0").select("cohort_month", size)
     return counts.join(sizes, "cohort_month")
 
 

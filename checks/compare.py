@@ -13,8 +13,15 @@ import duckdb
 
 from checks.oracle import oracle_queries
 
-SPARK_TYPES = {"tinyint": "TINYINT", "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR",
-               "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+# DuckDB names of Spark types; decimals are named alike.
+SPARK_TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
 
 
 def connect(data_dir: str) -> duckdb.DuckDBPyConnection:
@@ -26,7 +33,7 @@ def connect(data_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _rows(columns: list[str], rows) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted((tuple(str(row[i]) for i in order) for row in rows))
+    return sorted(tuple(str(row[i]) for i in order) for row in rows)
 
 
 def difference(mine, theirs) -> str | None:
@@ -70,7 +77,8 @@ def main() -> int:
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failures += problem is not None
-        print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - begin:.2f}s {problem or ''}")
+        verdict = "ok  " if problem is None else "FAIL"
+        print(f"{verdict} {name} {time.time() - begin:.2f}s {problem or ''}", flush=True)
     print(f"{len(names) - failures}/{len(names)} agree; without SQL: {set(queries) - set(oracles)}")
     return failures
 

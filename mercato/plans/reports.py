@@ -17,7 +17,7 @@ from mercato.functions.classifiers import (
     delivery_status,
     risk_rank,
 )
-from mercato.functions.rates import mean, money, pct
+from mercato.functions.rates import mean, pct
 from mercato.plans import cohort, delivery, sales
 from mercato.schemas import Tables
 

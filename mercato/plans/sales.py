@@ -53,7 +53,10 @@ def items_with_category(tables: Tables) -> DataFrame:
 def sales_order_items(tables: Tables, limits: HeavyLimits = HeavyLimits()) -> DataFrame:
     """One row per order item and review of its order, for orders of every status."""
     reviews = tables["reviews"].select("order_id", "review_id", "review_score")
-    buyers = tables["orders"].join(tables["customers"], "customer_id")
+    customers = tables["customers"].select(
+        "customer_id", "customer_unique_id", "customer_city", "customer_state"
+    )
+    buyers = tables["orders"].join(customers, "customer_id")
     reviewed = left_join_spread(buyers, reviews, "order_id", "review_id", limits)
     return (
         items_with_category(tables)

@@ -41,10 +41,11 @@ def _typed(name: str, kind: str) -> Column:
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast the known columns in place; others are carried through unchanged."""
+    kinds = {name: types.get(name, "string") for name in df.columns}
     return df.select(
         *[
-            _typed(name, types[name]) if types.get(name, "string") != "string" else F.col(f"`{name}`")
-            for name in df.columns
+            F.col(f"`{name}`") if kind == "string" else _typed(name, kind)
+            for name, kind in kinds.items()
         ]
     )
 

@@ -1,5 +1,7 @@
 """Every staging query against plain SQL over row-level joins, on hot keys and gaps."""
 
+import os
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -14,9 +16,11 @@ from tests import staged
 from tests.conftest import rows
 
 LOW = HeavyLimits(min_rows=20, max_keys=3)
+# More fixtures of the same shape, for a longer run: TEST_SEEDS=7,8,9
+SEEDS = [int(seed) for seed in os.environ.get("TEST_SEEDS", "7").split(",")]
 
 
-@pytest.fixture(scope="module", params=[7, 8])
+@pytest.fixture(scope="module", params=SEEDS)
 def data(request, spark, tmp_path_factory):
     directory = staged.write(spark, tmp_path_factory.mktemp("staged"), request.param)
     con = duckdb.connect()

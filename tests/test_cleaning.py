@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from mercato.operators import cleaning, profile
-from mercato.schemas import NULL_TOKENS, RAW_TABLES
+from mercato.schemas import NULL_TOKENS, ORDER_TIMESTAMPS, RAW_TABLES
 from mercato.sources import files
 from tests import micro
 from tests.conftest import rows
@@ -77,19 +77,13 @@ def test_order_kpis(cleaned):
 
 def test_missing_purchase_time_has_no_month(spark):
     row = ("o", *[None] * 5)
-    names = "order_id string, " + ", ".join(f"{n} string" for n in files_timestamps())
+    names = "order_id string, " + ", ".join(f"{n} string" for n in ORDER_TIMESTAMPS)
     got = cleaning.with_delivery_kpis(
         cleaning.parse_order_timestamps(spark.createDataFrame([row], names))
     )
     assert rows(got, "delivery_days", "is_late", "purchase_month") == [(None, 0, None)]
 
 
-def files_timestamps():
-    from mercato.schemas import ORDER_TIMESTAMPS
-
-    return ORDER_TIMESTAMPS
-
-
 def test_items_keep_valid_amounts(cleaned):
     got = rows(cleaned["order_items"], "order_id", "order_item_id", "price", "freight_value")
     assert len(got) == 7

@@ -23,7 +23,8 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", contract.queries())
 def test_query(spark, con, name):
-    assert difference(contract.queries()[name](spark, DATA), con.sql(contract.oracle_sql()[name])) is None
+    mine = contract.queries()[name](spark, DATA)
+    assert difference(mine, con.sql(contract.oracle_sql()[name])) is None
 
 
 def test_entry(spark):

@@ -103,7 +103,8 @@ def test_cleaned_csv_with_float_days(spark, run, tmp_path):
     """Cleaned files written elsewhere store nullable whole numbers as ``7.0``."""
     tables, _ = run
     files.write_staging(tables, str(tmp_path), "csv")
-    floats = tables["orders"].withColumn("delivery_days", tables["orders"].delivery_days.cast("double"))
+    orders = tables["orders"]
+    floats = orders.withColumn("delivery_days", orders.delivery_days.cast("double"))
     files.write_table(floats, files.staging_path(str(tmp_path), "orders", "csv"), fmt="csv")
     back = files.read_staging(spark, str(tmp_path), "csv")
     assert rows(back["orders"], "order_id", "delivery_days")[0] == ("o1", 7)
