@@ -11,6 +11,7 @@ alike, which lets one step place a whole run of equal pieces.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,35 +27,62 @@ PIECES = (
 
 
 class _WordIds(dict):
-    """Token ids of words, packed; two generations, so that frequent words stay.
+    """Packed token ids of words, given by the tokenizer.
 
     No token spans a space or a line feed, so the ids of a text are those of the runs
-    between them. The tokenizer itself gives the ids of each run.
+    between them. A run of Latin letters with a point or comma behind is two parts for
+    the tokenizer, the letters in lower case and the rest; the letters go straight to
+    its model, under which many spellings meet. Any other run goes through all of it.
     """
 
-    def __init__(self, file: str, most: int = 300_000, longest: int = 64):
+    def __init__(self, file: str, most: int = 400_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self._encode = Tokenizer.from_file(tokenizer_path(file)).encode
-        self._old: dict[str, bytes] = {}
+        tokenizer = Tokenizer.from_file(tokenizer_path(file))
+        self._encode, self._model = tokenizer.encode, tokenizer.model.tokenize
+        self._letters: dict[str, bytes] = {}
         self._most, self._longest = most, longest
 
     def __missing__(self, word: str) -> bytes:
-        ids = self._old.get(word)
-        if ids is None:
-            ids = np.array(self._encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        letters = word.rstrip(".,")
+        if letters.isalpha() and max(letters) < "\u0100" and len(word) <= self._longest:
+            ids = self._of_letters(letters.lower())
+            if len(letters) < len(word):
+                ids += self[word[len(letters) :]]
+        else:
+            ids = array("I", self._encode(word, add_special_tokens=False).ids).tobytes()
         if len(word) <= self._longest:
             if len(self) >= self._most:
-                self._old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
+    def _of_letters(self, letters: str) -> bytes:
+        ids = self._letters.get(letters)
+        if ids is None:
+            symbols = letters if letters.isascii() else letters.encode().decode("latin1").translate(BYTES)
+            ids = array("I", [token.id for token in self._model(symbols)]).tobytes()
+            if len(self._letters) >= 1.5 * self._most:
+                self._letters.clear()
+            self._letters[letters] = ids
+        return ids
+
     def of(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+def _byte_symbols() -> dict[int, str]:
+    """The characters by which a byte-level vocabulary writes bytes.
+
+    Printable bytes stand for themselves, the others for characters from 256 on.
+    """
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTES = _byte_symbols()
 _WORDS: dict[str, _WordIds] = {}
 
 
@@ -80,8 +108,8 @@ def pieces(
         step = 4 * capacity
         for batch in batches:
             out: list[tuple] = []
-            columns = (batch.column(i).to_pylist() for i in range(3))
-            for row, doc_id, text in zip(*columns):
+            rows, doc_ids, texts = (batch.column(i).to_pylist() for i in range(3))
+            for row, doc_id, text in zip(rows, doc_ids, texts):
                 ids = words.of(text) + end
                 for n, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
