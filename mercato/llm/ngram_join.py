@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -475,5 +476,19 @@ def joined(docs: DataFrame, *, words: int = 5) -> DataFrame:
     )
 
 
+# The class of documents without words.
+EMPTY_CLASS = class_id(shingles(""))
+
+
+def class_of(text: Column) -> Column:
+    """The class of a text's shingle set."""
+
+    @F.pandas_udf("long")
+    def classes(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: class_id(shingles(t))).astype("int64")
+
+    return classes(text)
+
+
 def op6_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return joined(read(spark, sf_dir, "documents")).drop("cls")

@@ -13,6 +13,7 @@ from mercato.llm import (
     mixing,
     ngram_join,
     packing,
+    suffix_dedup,
     token_counts,
     toxicity,
     url_filter,
@@ -30,6 +31,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         token_counts.op7_token_counts,
         toxicity.op8_toxicity,
         hamming_search.op9_exact_hamming_search,
+        suffix_dedup.op10_suffix_dedup,
     )
 }
 

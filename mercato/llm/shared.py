@@ -61,6 +61,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def broadcast_if_small(df: DataFrame, most: int = 64 << 20) -> DataFrame:
+    """``df``, a stored table, with a broadcast hint if its files have at most ``most`` bytes.
+
+    A larger one is joined by a shuffle; the result is the same.
+    """
+    spark = df.sparkSession
+    files = df.inputFiles()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for file in files:
+        at = path(file)
+        size += at.getFileSystem(conf).getFileStatus(at).getLen()
+        if size > most:
+            return df
+    return F.broadcast(df)
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
