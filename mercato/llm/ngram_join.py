@@ -34,7 +34,7 @@ THRESHOLD = 80  # percent
 # in all come last in the order, up to MAX_FREQUENT of them (8 bytes each, broadcast).
 LOCAL, FREQUENT, MAX_FREQUENT = 3, 12, 1 << 18
 SALTS = 32  # parts of a frequent token's list
-BITS = 8  # bits per token in the unions
+BITS = 2  # bits per token in the unions
 
 
 def least_overlap(n: int) -> int:
@@ -98,10 +98,13 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                     seen.add(cls)
                     new.append(tokens)
             yield _feature_rows(ids, classes, sizes, bits, [], [])
-            if new:
-                tokens, counts = np.unique(np.concatenate(new), return_counts=True)
+            if sum(map(len, new)):
+                tokens = np.concatenate(new)
+                tokens.sort()
+                first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+                counts = np.diff(np.append(first, len(tokens)))
                 often = counts >= LOCAL
-                tokens, counts = tokens[often].view(np.int64), counts[often]
+                tokens, counts = tokens[first[often]].view(np.int64), counts[often]
                 none = [None] * len(tokens)
                 yield _feature_rows(none, none, none, none, tokens, counts)
 

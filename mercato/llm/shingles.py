@@ -2,25 +2,59 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
-import xxhash
 
-# A-Z lower-cased, other bytes as they are; bytes.split() then cuts at ASCII white space.
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+# A-Z lower-cased, ASCII white space as a space, other bytes as they are.
+_LOWER = bytes(
+    32 if b in (9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256)
+)
 _U = np.uint64
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-
-_HASHES = _WordHashes()
+SLAB = 1 << 19  # bytes whose words are hashed at a time
+_BASE = 0xD1342543DE82EF95
+_BYTE = np.random.default_rng(64).integers(1, 1 << 62, 256, dtype=np.uint64) * _U(2) + _U(1)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, _U), np.full(n, base, _U)]))
+
+
+_UP, _DOWN = (_powers(b, SLAB) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
+def _slabs(data: bytes) -> list[bytes]:
+    """Pieces of about SLAB bytes, cut at spaces only."""
+    out, at = [], 0
+    while len(data) - at > SLAB:
+        cut = data.rfind(b" ", at, at + SLAB)
+        if cut <= at:
+            cut = data.find(b" ", at + SLAB)
+            if cut < 0:
+                break
+        out.append(data[at:cut])
+        at = cut
+    out.append(data[at:])
+    return out
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of each word, from prefix sums over the bytes."""
+    out = []
+    for slab in _slabs(text.encode().translate(_LOWER)):
+        codes = np.frombuffer(slab, np.uint8)
+        n = len(codes)
+        up, down = (_UP, _DOWN) if n <= SLAB else (
+            _powers(b, n) for b in (_BASE, pow(_BASE, -1, 1 << 64))
+        )
+        letter = np.zeros(n + 2, np.int8)
+        letter[1:-1] = codes != 32
+        edges = np.flatnonzero(letter[1:] != letter[:-1])
+        start, end = edges[::2], edges[1::2]
+        sums = np.zeros(n + 1, _U)
+        np.cumsum(_BYTE[codes] * up[:n], out=sums[1:])
+        out.append((sums[end] - sums[start]) * down[start])
+    return mix(np.concatenate(out))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,6 +64,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+@cache
 def factors(words: int) -> np.ndarray:
     return np.random.default_rng(words).integers(1, 1 << 62, words, dtype=np.uint64) * _U(2) + _U(1)
 
@@ -39,9 +74,8 @@ def shingles(text: str, words: int = 5) -> np.ndarray:
 
     With fewer words the whole sequence is one shingle; without words the set is empty.
     """
-    found = text.encode().translate(_LOWER).split()
-    n = len(found)
-    hashes = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, n)
+    hashes = word_hashes(text)
+    n = len(hashes)
     weights = factors(words)
     if n < words:
         if not n:
