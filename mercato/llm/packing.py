@@ -13,14 +13,19 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.llm.shingles import break_mask, words_of
 from mercato.llm.shared import read, shuffle_partitions, stored, text_of, tokenizer_path
 
+BREAKS = break_mask(b" \n")
+TOGETHER = 1 << 20  # bytes of texts whose words are looked up together
+
 PIECES = (
     "row long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 )
@@ -30,46 +35,80 @@ class _WordIds(dict):
     """Packed token ids of words, given by the tokenizer.
 
     No token spans a space or a line feed, so the ids of a text are those of the runs
-    between them. A run of Latin letters with a point or comma behind is two parts for
+    between them. A run of Latin letters with ASCII punctuation behind is two parts for
     the tokenizer, the letters in lower case and the rest; the letters go straight to
     its model, under which many spellings meet. Any other run goes through all of it.
     """
 
-    def __init__(self, file: str, most: int = 400_000, longest: int = 64):
+    def __init__(self, file: str, most: int = 900_000, most_letters: int = 700_000):
         from tokenizers import Tokenizer
 
         super().__init__()
         tokenizer = Tokenizer.from_file(tokenizer_path(file))
         self._encode, self._model = tokenizer.encode, tokenizer.model.tokenize
         self._letters: dict[str, bytes] = {}
-        self._most, self._longest = most, longest
+        self._most, self._most_letters = most, most_letters
 
     def __missing__(self, word: str) -> bytes:
-        letters = word.rstrip(".,")
-        if letters.isalpha() and max(letters) < "\u0100" and len(word) <= self._longest:
-            ids = self._of_letters(letters.lower())
-            if len(letters) < len(word):
-                ids += self[word[len(letters) :]]
-        else:
-            ids = array("I", self._encode(word, add_special_tokens=False).ids).tobytes()
-        if len(word) <= self._longest:
-            if len(self) >= self._most:
-                self.clear()
-            self[word] = ids
+        letters = word.rstrip(punctuation)
+        ids = self._letters.get(letters.lower()) if letters else None
+        if ids is None:
+            if not letters.isalpha() or max(letters) >= "\u0100" or len(word) > 64:
+                ids = array("I", self._encode(word, add_special_tokens=False).ids).tobytes()
+                if len(word) <= 64:
+                    self._keep(word, ids)
+                return ids
+            ids = self._learn(letters.lower())
+        if len(letters) < len(word):
+            ids += self[word[len(letters) :]]
+        self._keep(word, ids)
         return ids
 
-    def _of_letters(self, letters: str) -> bytes:
-        ids = self._letters.get(letters)
-        if ids is None:
-            symbols = letters if letters.isascii() else letters.encode().decode("latin1").translate(BYTES)
-            ids = array("I", [token.id for token in self._model(symbols)]).tobytes()
-            if len(self._letters) >= 1.5 * self._most:
-                self._letters.clear()
-            self._letters[letters] = ids
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(self) >= self._most:
+            self.clear()
+        self[word] = ids
+
+    def _learn(self, letters: str) -> bytes:
+        symbols = letters if letters.isascii() else letters.encode().decode("latin1").translate(BYTES)
+        ids = array("I", [token.id for token in self._model(symbols)]).tobytes()
+        if len(self._letters) >= self._most_letters:
+            self._letters.clear()
+        self._letters[letters] = ids
         return ids
 
-    def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def of(self, texts: list[str]) -> Iterator[bytes]:
+        """The packed ids of each text."""
+        waiting: list[bytes] = []
+        held = 0
+        for text in texts:
+            waiting.append(text.encode())
+            held += len(waiting[-1]) + 1
+            if held >= TOGETHER:
+                yield from self._together(waiting)
+                waiting, held = [], 0
+        yield from self._together(waiting)
+
+    def _together(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Look up each distinct word of the texts once, then spread the ids."""
+        data = b"\n".join(texts)
+        start, end, hashes = words_of(data, BREAKS)
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        found = [self[data[a:b].decode()] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        begin = np.cumsum(size) - size
+        n = size[which]
+        upto = np.cumsum(n)
+        at = np.arange(int(n.sum())) + np.repeat(begin[which] - (upto - n), n)
+        spread = ids[at].tobytes()
+        # ids before the first word of each text
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        words = np.searchsorted(start, ends)
+        last = 0
+        for upper in np.concatenate([[0], upto])[words].tolist():
+            yield spread[4 * last : 4 * upper]
+            last = upper
 
 
 def _byte_symbols() -> dict[int, str]:
@@ -109,8 +148,8 @@ def pieces(
         for batch in batches:
             out: list[tuple] = []
             rows, doc_ids, texts = (batch.column(i).to_pylist() for i in range(3))
-            for row, doc_id, text in zip(rows, doc_ids, texts):
-                ids = words.of(text) + end
+            for row, doc_id, ids in zip(rows, doc_ids, words.of(texts)):
+                ids += end
                 for n, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     out.append(
