@@ -34,6 +34,8 @@ THRESHOLD = 80  # percent
 # in all come last in the order, up to MAX_FREQUENT of them (8 bytes each, broadcast).
 LOCAL, FREQUENT, MAX_FREQUENT = 3, 12, 1 << 18
 SALTS = 32  # parts of a frequent token's list
+STAR_ROUNDS = 2  # at most so many rounds of growing groups before the rest is opened
+BLOCK = 64  # classes that share a union
 BITS = 2  # bits per token in the unions
 
 
@@ -46,6 +48,11 @@ def reaches(common: Column, a: Column, b: Column) -> Column:
     return (100 + THRESHOLD) * common >= THRESHOLD * (a + b)
 
 
+def promise() -> Column:
+    """How similar a pair within bounds may be."""
+    return F.col("bound") / (F.col("n_a") + F.col("n_b"))
+
+
 def linkable(a: Column, b: Column) -> Column:
     """Sizes alone allow a link."""
     return 100 * F.least(a, b) >= THRESHOLD * F.greatest(a, b)
@@ -321,42 +328,31 @@ def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, words: int) -
     )
 
 
-def union_rows(members: DataFrame) -> DataFrame:
-    """(grp, bits): the union of the members' bits, combined before and after the shuffle."""
-
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(held.keys(), pa.int64()), pa.array([v.tobytes() for v in held.values()], pa.binary())],
-                names=["grp", "bits"],
-            )
-
-        for batch in batches:
-            for grp, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                row = np.frombuffer(bits, np.uint8)
-                if grp in held:
-                    size = min(len(row), len(held[grp]))
-                    row = folded(row, size) | folded(held[grp], size)
-                held[grp] = row
-            if len(held) > 20_000 and batch.num_rows:
-                last = batch.column(0)[-1].as_py()
-                tail = held.pop(last)
-                yield rows()
-                held = {last: tail}
-        yield rows()
-
-    partial = members.select("grp", "bits").mapInArrow(combine, "grp long, bits binary")
+def towards_largest(listed: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFrame:
+    """For each group the most promising pairs with the largest groups on its lists."""
+    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
+    in_list = stored(listed.select("token", "cls").join(groups, "cls").join(sizes, "grp"), "matrix")
+    largest = in_list.groupBy("token").agg(F.max(F.struct("members", "grp", "cls")).alias("top"))
+    pairs = (
+        in_list.join(largest, "token")
+        .filter(F.col("grp") != F.col("top.grp"))
+        .select(F.col("cls").alias("a"), F.col("top.cls").alias("b"))
+        .distinct()
+    )
+    of_a = groups.select(F.col("cls").alias("a"), F.col("grp").alias("of_a"))
+    of_b = groups.select(F.col("cls").alias("b"), F.col("grp").alias("of_b"))
+    best = Window.partitionBy("of_a", "of_b").orderBy(promise().desc(), "a", "b")
     return (
-        partial.repartition(shuffle_partitions(members.sparkSession), "grp")
-        .sortWithinPartitions("grp")
-        .mapInArrow(combine, "grp long, bits binary")
+        within_bound(pairs, bits)
+        .join(of_a, "a")
+        .join(of_b, "b")
+        .withColumn("rank", F.row_number().over(best))
+        .filter(F.col("rank") <= 2)
     )
 
 
 def open_groups(listed: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs (a, b) to verify between groups, with the group of b and the bound.
+    """Pairs (a, b) to verify between groups, with ``other``, the group of b, and the bound.
 
     The smaller group asks the larger, of equals the one with the smaller number. A list
     holds each group once, so lists of similar documents don't pair up.
@@ -377,29 +373,59 @@ def open_groups(listed: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFr
         .select("cls", "other")
         .distinct()
     )
-    rows = groups.join(bits, "cls")
-    unions = union_rows(rows)
+    matrix = blocks(groups.join(sizes, "grp").join(bits, "cls"))
 
-    def may_hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [
-                n - outside(x, union) >= least_overlap(n)
-                for n, x, union in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
-            ]
+            out: list[tuple] = []
+            for a, other, n, row, union, members in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if n - outside(row, union) < least_overlap(n):
+                    continue
+                for m in members:
+                    b, size = m["cls"], m["n"]
+                    if 100 * min(n, size) < THRESHOLD * max(n, size):
+                        continue
+                    most = min(n - outside(row, m["bits"]), size - outside(m["bits"], row))
+                    if (100 + THRESHOLD) * most >= THRESHOLD * (n + size):
+                        out.append((a, b, n, size, most, other))
+            columns = list(zip(*out)) if out else [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1)], names=["cls", "other"]
-            ).filter(pa.array(keep, pa.bool_()))
+                [pa.array(c, pa.int64()) for c in columns], names=["a", "b", "n_a", "n_b", "bound", "other"]
+            )
 
-    opened = (
+    return (
         asked.join(bits, "cls")
-        .join(unions.select(F.col("grp").alias("other"), F.col("bits").alias("union")), "other")
-        .select("cls", "other", "n", "bits", "union")
-        .mapInArrow(may_hold, "cls long, other long")
+        .join(matrix, "other")
+        .select("cls", "other", "n", "bits", "union", "members")
+        .mapInArrow(opened, "a long, b long, n_a long, n_b long, bound long, other long")
+    )
+
+
+def blocks(members: DataFrame) -> DataFrame:
+    """(other, union, members): groups in blocks of about BLOCK classes with the union of their bits."""
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unions = []
+            for found in batch.column(1).to_pylist():
+                rows = [np.frombuffer(m["bits"], np.uint8) for m in found]
+                size = min(map(len, rows))
+                unions.append(np.bitwise_or.reduce([folded(r, size) for r in rows]).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(unions, pa.binary()), batch.column(1)],
+                names=["other", "union", "members"],
+            )
+
+    parts = F.ceil(F.col("members") / BLOCK)
+    return (
+        members.withColumn("part", F.pmod(F.xxhash64("cls"), parts))
+        .groupBy(F.col("grp").alias("other"), "part")
+        .agg(F.collect_list(F.struct("cls", "n", "bits")).alias("members"))
+        .select("other", "members")
+        .mapInArrow(
+            unite, "other long, union binary, members array<struct<cls:long,n:long,bits:binary>>"
+        )
     )
-    pairs = opened.join(
-        groups.select(F.col("grp").alias("other"), F.col("cls").alias("b")), "other"
-    ).select(F.col("cls").alias("a"), "b")
-    return within_bound(pairs, bits)
 
 
 def similar_classes(docs: DataFrame, *, words: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -416,13 +442,14 @@ def similar_classes(docs: DataFrame, *, words: int = 5) -> tuple[DataFrame, Data
     )
     listed = stored(lists(postings(docs, words, frequent_tokens(found))), "lists")
 
-    # Groups of similar documents: each class and the head it meets most often
+    # Groups of similar documents. First each class and, of the heads of its lists, the one
+    # that leads most classes; then, round by round, each group and the largest groups
+    # that it meets. A round takes a row per class or list entry, never a pair of them.
+    led = listed.filter("cls <> head").select("cls", "head").distinct()
     heads = (
-        listed.filter("cls <> head")
-        .groupBy("cls", "head")
-        .agg(F.count("*").alias("lists"))
+        led.join(led.groupBy("head").agg(F.count("*").alias("led")), "head")
         .groupBy("cls")
-        .agg(F.max(F.struct("lists", "head")).alias("best"))
+        .agg(F.max(F.struct("led", "head")).alias("best"))
         .select(F.col("cls").alias("a"), F.col("best.head").alias("b"))
     )
     links = verified(within_bound(heads, bits), docs, owners, words)
@@ -437,14 +464,15 @@ def similar_classes(docs: DataFrame, *, words: int = 5) -> tuple[DataFrame, Data
         )
 
     grouped = groups()
-    pairs = stored(
-        open_groups(listed, grouped, bits).join(
-            grouped.select(F.col("cls").alias("b"), F.col("grp").alias("other")), "b"
-        ),
-        "opened",
-    )
+    for _ in range(STAR_ROUNDS):
+        new = verified(towards_largest(listed, grouped, bits), docs, owners, words)
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        grouped = groups()
+    pairs = stored(open_groups(listed, grouped, bits), "opened")
     # The best member of each opened group first, the others only where that didn't connect.
-    best = Window.partitionBy("a", "other").orderBy(F.desc(F.col("bound") / (F.col("n_a") + F.col("n_b"))), "b")
+    best = Window.partitionBy("a", "other").orderBy(promise().desc(), "b")
     first = pairs.withColumn("rank", F.row_number().over(best)).filter("rank = 1")
     links = links.unionByName(verified(first, docs, owners, words))
     grouped = groups()
