@@ -40,7 +40,7 @@ class _WordIds(dict):
     its model, under which many spellings meet. Any other run goes through all of it.
     """
 
-    def __init__(self, file: str, most: int = 900_000, most_letters: int = 700_000):
+    def __init__(self, file: str, most: int = 200_000, most_letters: int = 300_000):
         from tokenizers import Tokenizer
 
         super().__init__()
