@@ -62,7 +62,12 @@ def save_marts(spark: SparkSession, tables: Tables) -> None:
     """Save every mart as ``analytics.<view name>``; a mart over another reads its table."""
     create_namespaces(spark)
     tables = dict(tables)
+    # The joins of orders, customers and reviews that several marts share, for this run.
+    shared = f"{ANALYTICS}.shared_order_facts"
+    _save(sales.order_facts(tables), shared)
+    tables["order_facts"] = spark.table(shared)
     for view, build in VIEWS.items():
         name = f"{ANALYTICS}.{view}"
         _save(build(tables), name)
         tables[view.removeprefix("vw_")] = spark.table(name)
+    spark.sql(f"DROP TABLE {shared}")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators import cleaning, profile, quality
 from mercato.plans import cohort, delivery, reports, sales
-from mercato.schemas import STAGING_TABLES, Tables
+from mercato.schemas import RAW_TABLES, STAGING_TABLES, Tables
 from mercato.sources import files
 
 # Results several marts build on, written once per run and read back by the marts.
@@ -24,6 +24,7 @@ SHARED = {
 # The marts of each dashboard page and the shared results they use.
 PAGES: dict[str, dict] = {
     "executive": {
+        "sales_order_items": sales.sales_order_items,
         "monthly_kpis": reports.monthly_kpis,
         "category_performance": sales.category_performance,
     },
@@ -39,6 +40,7 @@ PAGES: dict[str, dict] = {
         "state_review_impact": reports.state_review_impact,
     },
     "cohort": {
+        "customer_orders": cohort.customer_orders,
         "customer_cohorts": cohort.customer_cohorts,
         "cohort_retention": reports.cohort_retention,
         "cohort_retention_matrix": reports.cohort_retention_matrix,
@@ -64,9 +66,9 @@ class KeyViolation(ValueError):
     """A staging table breaks its declared key, so distinct counts would be wrong."""
 
 
-def require_keys(tables: Tables) -> None:
+def require_keys(audit: DataFrame) -> None:
     """Fail unless every declared key holds; six rows at most reach the driver."""
-    failed = quality.key_audits(tables).filter(~F.col("passed")).collect()
+    failed = audit.filter(~F.col("passed")).collect()
     if failed:
         details = "; ".join(
             f"{row.table_name}({row.key_columns}): {row.duplicate_keys} repeated, "
@@ -91,10 +93,14 @@ def write_quality(tables: Tables, reviews_before: DataFrame, directory: str) ->
 def stage(spark: SparkSession, raw_dir: str, out_dir: str) -> Tables:
     """Clean the raw files into ``staging``; profile and check them into ``quality``.
 
+    The files are parsed once, into ``raw``; everything else reads that.
+
     Reviews are written as cleaned first, because the duplicate report needs them, and
     the staging table is then the de-duplicated rest.
     """
-    raw = files.read_raw_all(spark, raw_dir)
+    for name, table in files.read_raw_all(spark, raw_dir).items():
+        files.write_table(table, f"{out_dir}/raw/{name}")
+    raw = {name: spark.read.parquet(f"{out_dir}/raw/{name}") for name in RAW_TABLES}
     profiled = {name: raw[name] for name in STAGING_TABLES}
     files.write_table(profile.per_table(profiled, profile.profile), f"{out_dir}/quality/profile")
     files.write_table(
@@ -120,6 +126,11 @@ def shared_dir(spark: SparkSession, out_dir: str) -> str:
     return f"{out_dir}/shared"
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def write_marts(
     spark: SparkSession, tables: Tables, out_dir: str, pages: Iterable[str] = tuple(PAGES)
 ) -> None:
@@ -139,6 +150,8 @@ def write_marts(
         for name, build in PAGES[page].items():
             ready = tables[name] if name in tables else build(tables)
             files.write_table(ready, f"{out_dir}/{page}/{name}")
+    if not keep.startswith(out_dir):
+        _remove(spark, keep)
 
 
 def run(
@@ -146,6 +159,6 @@ def run(
 ) -> Tables:
     """Raw files to marts; stops before the marts when a declared key is violated."""
     tables = stage(spark, raw_dir, out_dir)
-    require_keys(tables)
+    require_keys(spark.read.parquet(f"{out_dir}/quality/key_audit"))
     write_marts(spark, tables, f"{out_dir}/marts", pages)
     return tables

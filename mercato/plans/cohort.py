@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from mercato.functions import dates
 from mercato.functions.rates import pct
-from mercato.operators.skew import HeavyLimits, heavy_keys, salt_by
 from mercato.plans.sales import delivered, shared
 from mercato.schemas import Tables
 
@@ -51,23 +50,15 @@ def with_cohort_columns(orders: DataFrame) -> DataFrame:
     )
 
 
-def customer_cohorts(tables: Tables, limits: HeavyLimits = HeavyLimits()) -> DataFrame:
+def customer_cohorts(tables: Tables) -> DataFrame:
     """Every order with its customer's first purchase month and the months since.
 
-    A window over the customer finds the first month. A customer with very many orders
-    would pull them all into one window, so the first months of the heaviest customers
-    are looked up beforehand and their orders are spread over several windows.
+    First months are combined per task before their shuffle, and the join splits a
+    customer with very many orders.
     """
     orders = person_orders(tables)
-    first_month = F.min("purchase_month").alias("_heavy_first")
-    heavy = heavy_keys(orders, PERSON, first_month, limits=limits)
-    window = Window.partitionBy(PERSON, "_salt")
-    first = F.coalesce("_heavy_first", F.min("purchase_month").over(window))
-    return with_cohort_columns(
-        orders.join(F.broadcast(heavy), PERSON, "left")
-        .withColumn("_salt", salt_by("order_id"))
-        .withColumn("cohort_month", first)
-    )
+    first = orders.groupBy(PERSON).agg(F.min("purchase_month").alias("cohort_month"))
+    return with_cohort_columns(orders.join(first, PERSON))
 
 
 def customer_months(tables: Tables) -> DataFrame:

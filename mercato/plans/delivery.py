@@ -17,7 +17,7 @@ from mercato.functions.classifiers import (
     logistics_risk,
 )
 from mercato.functions.rates import exact_pct, mean, pct
-from mercato.operators.skew import HeavyLimits, left_join_spread
+from mercato.operators.joins import left_join_split
 from mercato.plans.sales import delivered, order_facts, shared
 from mercato.schemas import ORDER_TIMESTAMPS, Tables
 
@@ -49,12 +49,10 @@ def delivered_with_customer(tables: Tables) -> DataFrame:
     )
 
 
-def delivery_performance(tables: Tables, limits: HeavyLimits = HeavyLimits()) -> DataFrame:
+def delivery_performance(tables: Tables) -> DataFrame:
     """One row per delivered order and review; one row for an order without review."""
-    reviews = tables["reviews"].select("order_id", "review_id", "review_score")
-    return left_join_spread(
-        delivered_with_customer(tables), reviews, "order_id", "review_id", limits
-    )
+    reviews = tables["reviews"].select("order_id", "review_score")
+    return left_join_split(delivered_with_customer(tables), reviews, "order_id")
 
 
 def delivery_review_impact(tables: Tables) -> DataFrame:

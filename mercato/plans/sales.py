@@ -23,7 +23,7 @@ from mercato.functions.classifiers import (
     seller_segment,
 )
 from mercato.functions.rates import cents, mean, money, pct
-from mercato.operators.skew import HeavyLimits, left_join_spread
+from mercato.operators.joins import left_join_split
 from mercato.schemas import Tables
 
 UNKNOWN = "unknown"
@@ -50,14 +50,14 @@ def items_with_category(tables: Tables) -> DataFrame:
     )
 
 
-def sales_order_items(tables: Tables, limits: HeavyLimits = HeavyLimits()) -> DataFrame:
+def sales_order_items(tables: Tables) -> DataFrame:
     """One row per order item and review of its order, for orders of every status."""
-    reviews = tables["reviews"].select("order_id", "review_id", "review_score")
+    reviews = tables["reviews"].select("order_id", "review_score")
     customers = tables["customers"].select(
         "customer_id", "customer_unique_id", "customer_city", "customer_state"
     )
     buyers = tables["orders"].join(customers, "customer_id")
-    reviewed = left_join_spread(buyers, reviews, "order_id", "review_id", limits)
+    reviewed = left_join_split(buyers, reviews, "order_id")
     return (
         items_with_category(tables)
         .join(reviewed, "order_id")

@@ -32,11 +32,16 @@ def nullify_tokens(df: DataFrame) -> DataFrame:
 
 
 def _typed(name: str, kind: str) -> Column:
+    """The column cast strictly: a value that the type can't hold fails, none is rounded."""
     column = F.col(f"`{name}`")
-    if kind == "int":
+    value = column.cast(kind)
+    if kind == "int" or kind.startswith("decimal"):
         # Whole numbers may be written with a decimal point, as in "7.0".
-        column = column.cast("double")
-    return column.cast(kind).alias(name)
+        exact = column.cast("decimal(38,18)")
+        value = exact.cast(kind)
+        message = F.concat(F.lit(f"{name} is not a {kind}: "), column)
+        value = F.when(exact != value, F.raise_error(message).cast(kind)).otherwise(value)
+    return value.alias(name)
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -53,11 +58,23 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 def read_csv(
     spark: SparkSession, path: str, types: dict[str, str], multiline: bool = False
 ) -> DataFrame:
-    """Read text columns by header, drop missing-value tokens, then cast strictly."""
-    text = (
+    """Read text columns by header, drop missing-value tokens, then cast strictly.
+
+    A row with more or fewer fields than the header fails, and so does a file whose
+    header differs from that of the first. All fields are parsed, so a query that needs
+    few columns fails as well.
+    """
+    reader = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", multiline)
+        .option("mode", "FAILFAST")
+    )
+    names = reader.csv(path).columns
+    text = (
+        reader.schema(", ".join(f"`{name}` string" for name in names))
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
         .csv(path)
     )
     return cast_columns(nullify_tokens(text), types)
@@ -66,8 +83,17 @@ def read_csv(
 def read_raw(
     spark: SparkSession, directory: str, table: str, file_name: str | None = None
 ) -> DataFrame:
-    """A raw table; ``file_name`` (a name, pattern or directory) overrides the default."""
+    """A raw table; ``file_name`` (a name, pattern or directory) overrides the default.
+
+    The default is a pattern that must match one file: two would be two distributions.
+    """
     path = f"{directory.rstrip('/')}/{file_name or RAW_FILES[table]}"
+    if not file_name:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = [str(status.getPath()) for status in system.globStatus(hadoop) or []]
+        if len(found) != 1:
+            raise ValueError(f"{path} matches {len(found)} files: {', '.join(found)}")
     return read_csv(spark, path, RAW_TYPES[table], multiline=table in MULTILINE_TABLES)
 
 

@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 
 from checks.compare import difference
 from checks.oracle import STAGING_CTE, staged_queries
-from mercato.operators import skew
-from mercato.operators.skew import HeavyLimits
+from mercato.operators.joins import left_join_split
 from mercato.plans import cohort, delivery, sales
 from mercato.queries import ON_STAGING
 from tests import staged
 from tests.conftest import rows
 
-LOW = HeavyLimits(min_rows=20, max_keys=3)
 # More fixtures of the same shape, for a longer run: TEST_SEEDS=7,8,9
 SEEDS = [int(seed) for seed in os.environ.get("TEST_SEEDS", "7").split(",")]
 
@@ -35,54 +33,18 @@ def test_same_as_sql(data, name):
     assert difference(ON_STAGING[name](tables), con.sql(staged_queries()[name])) is None
 
 
-@pytest.mark.parametrize(
-    "name, build",
-    [
-        ("sales_order_items", sales.sales_order_items),
-        ("delivery_performance", delivery.delivery_performance),
-        ("customer_cohorts", cohort.customer_cohorts),
-    ],
-)
-@pytest.mark.parametrize("limits", [LOW, HeavyLimits(1, 2), HeavyLimits(2, 1000)])
-def test_spread_keys_give_the_same_rows(data, name, build, limits):
-    tables, con = data
-    assert difference(build(tables, limits), con.sql(staged_queries()[name])) is None
-
-
-def test_heavy_keys_are_bounded_and_largest_first(spark):
-    df = spark.range(1000).select(
-        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 10).alias("k"), "id"
-    )
-    found = skew.heavy_keys(df, "k", F.max("id").alias("m"), limits=HeavyLimits(60, 3))
-    assert rows(found, "k", "m", "_salts") == [(0, 998, 9), (1, 991, 2), (3, 993, 2)]
-    assert skew.heavy_keys(df, "k", limits=HeavyLimits(501, 3)).count() == 0
-
-
-@pytest.mark.parametrize("limits", [HeavyLimits(1000, 5), HeavyLimits(3, 5), HeavyLimits(1, 50)])
-def test_spread_join_equals_plain_join(spark, limits):
+def test_split_join_equals_plain_join(spark):
     left = spark.range(12).withColumnRenamed("id", "k")
     right = spark.range(2000).select(
-        F.when(F.col("id") < 1500, 1).otherwise(F.col("id") % 9).alias("k"),
-        F.col("id").alias("r"),
-        F.col("id").alias("value"),
+        F.when(F.col("id") < 1500, 1).otherwise(F.col("id") % 9).alias("k"), F.col("id").alias("value")
     )
-    joined = skew.left_join_spread(left, right, "k", "r", limits)
-    assert rows(joined) == rows(left.join(right.drop("r"), "k", "left"))
-
-
-def test_spread_groups_stay_near_the_limit(spark):
-    df = spark.range(20_000).select(F.lit(7).alias("k"), "id")
-    heavy = skew.heavy_keys(df, "k", limits=HeavyLimits(1000, 5))
-    sizes = df.join(heavy, "k").groupBy(skew.salt_by("id").alias("s")).count()
-    assert sizes.count() == 20
-    assert sizes.agg(F.max("count")).first()[0] < 1500
+    assert rows(left_join_split(left, right, "k")) == rows(left.join(right, "k", "left"))
 
 
 def test_null_keys_do_not_match(spark):
     left = spark.createDataFrame([(None, "a"), (1, "b")], "k int, l string")
-    right = spark.createDataFrame([(None, 1, 5), (None, 2, 6), (1, 3, 7)], "k int, r int, v int")
-    joined = skew.left_join_spread(left, right, "k", "r", HeavyLimits(1, 5))
-    assert rows(joined) == [(1, "b", 7), (None, "a", None)]
+    right = spark.createDataFrame([(None, 5), (None, 6), (1, 7)], "k int, v int")
+    assert rows(left_join_split(left, right, "k")) == [(1, "b", 7), (None, "a", None)]
 
 
 def test_invariants(data):

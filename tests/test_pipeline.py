@@ -1,6 +1,7 @@
 import pytest
 
 from mercato import catalog, pipeline
+from mercato.operators import quality
 from mercato.plans import cohort, delivery, reports, sales
 from mercato.schemas import STAGING_TABLES
 from mercato.sources import files
@@ -83,7 +84,7 @@ def test_broken_key_stops_the_run(spark, run, tmp_path):
     tables, _ = run
     twice = {**tables, "products": tables["products"].union(tables["products"])}
     with pytest.raises(pipeline.KeyViolation, match=r"products\(product_id\): 3 repeated"):
-        pipeline.require_keys(twice)
+        pipeline.require_keys(quality.key_audits(twice))
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])

@@ -89,6 +89,9 @@ def test_review_dedup_limits_before_the_shuffle(tables):
         (sales.seller_performance, 2),
         (delivery.delivery_review_impact, 2),
         (cohort.customer_orders, 1),
+        # Also reviews of a hot order, orders of a hot person.
+        (delivery.delivery_performance, 2),
+        (cohort.customer_cohorts, 2),
     ],
 )
 def test_skewed_joins_are_split(tables, conf, build, joins):
