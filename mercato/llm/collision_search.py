@@ -131,7 +131,8 @@ def search_block(
                 low[j], high[j] = at, to
             new = np.flatnonzero((counts >= need) & ~verified)
             verified[new] = True
-            scores[new] = (vectors[new] @ queries[q]) / (length[new] * q_length[q])
+            # row by row the same sum, so that equal vectors have equal scores
+            scores[new] = (vectors[new] * queries[q]).sum(axis=1) / (length[new] * q_length[q])
             seen = np.flatnonzero(verified)
             if len(seen) == n:
                 break
