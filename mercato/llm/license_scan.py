@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.shared import read, stored, text_of
+from mercato.llm.shared import read, small, stored, text_of
 
 # Names and customary notices of licences.
 TEMPLATES = (
@@ -59,7 +59,7 @@ def document_frequencies(texts: DataFrame, wanted: Iterable[str]) -> tuple[int,
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[str] = Counter()
-        for batch in batches:
+        for batch in small(batches):
             for text in batch.column(0).to_pylist():
                 found.update(vocabulary.intersection(terms(text)))
                 found[""] += 1
@@ -150,7 +150,7 @@ def scan(
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(templates, n, frequency, threshold)
-        for batch in batches:
+        for batch in small(batches):
             names, scores, shares = [], [], []
             for text in batch.column("text").to_pylist():
                 found = matcher.best(text)

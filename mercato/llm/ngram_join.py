@@ -26,14 +26,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.components import components
-from mercato.llm.shared import read, shuffle_partitions, stored, text_of
+from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of
 from mercato.llm.shingles import class_id, shingles
 
 THRESHOLD = 80  # percent
-# Tokens seen in so many classes of a batch are reported, and those with so many reports
+# Tokens seen in LOCAL of the classes counted together are reported, and those with so many reports
 # in all come last in the order, up to MAX_FREQUENT of them (8 bytes each, broadcast).
 LOCAL, FREQUENT, MAX_FREQUENT = 3, 12, 1 << 18
 SALTS = 32  # parts of a frequent token's list
+TOGETHER = 3_000_000  # tokens counted together
 STAR_ROUNDS = 2  # at most so many rounds of growing groups before the rest is opened
 BLOCK = 64  # classes that share a union
 BITS = 2  # bits per token in the unions
@@ -90,8 +91,9 @@ def features(docs: DataFrame, words: int) -> DataFrame:
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
-            ids, sizes, classes, bits, new = batch.column(0).to_pylist(), [], [], [], []
+        new: list[np.ndarray] = []
+        for batch in small(batches):
+            ids, sizes, classes, bits = batch.column(0).to_pylist(), [], [], []
             for text in batch.column(1).to_pylist():
                 tokens = shingles(text, words)
                 cls = class_id(tokens)
@@ -105,21 +107,28 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                     seen.add(cls)
                     new.append(tokens)
             yield _feature_rows(ids, classes, sizes, bits, [], [])
-            if sum(map(len, new)):
-                tokens = np.concatenate(new)
-                tokens.sort()
-                first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-                counts = np.diff(np.append(first, len(tokens)))
-                often = counts >= LOCAL
-                tokens, counts = tokens[first[often]].view(np.int64), counts[often]
-                none = [None] * len(tokens)
-                yield _feature_rows(none, none, none, none, tokens, counts)
+            if sum(map(len, new)) > TOGETHER:
+                yield _frequent_rows(new)
+                new = []
+        yield _frequent_rows(new)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
         shingle, "doc_id long, cls long, n long, bits binary, token long, count long"
     )
 
 
+def _frequent_rows(sets: list[np.ndarray]) -> pa.RecordBatch:
+    """The tokens that at least LOCAL of the sets have."""
+    tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    tokens.sort()
+    ends = np.flatnonzero(np.append(tokens[1:] != tokens[:-1], len(tokens) > 0))
+    counts = np.diff(ends, prepend=-1)
+    often = counts >= LOCAL
+    found = tokens[ends[often]].view(np.int64)
+    none = [None] * len(found)
+    return _feature_rows(none, none, none, none, found, counts[often])
+
+
 def _feature_rows(ids, classes, sizes, bits, tokens, counts) -> pa.RecordBatch:
     n = len(ids)
     columns = (ids, classes, sizes, bits, tokens if len(tokens) else [None] * n, counts if len(counts) else [None] * n)
@@ -152,7 +161,7 @@ def postings(docs: DataFrame, words: int, frequent: np.ndarray) -> DataFrame:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         often = late.value
-        for batch in batches:
+        for batch in small(batches):
             out: list[tuple[np.ndarray, ...]] = []
             for text in batch.column(0).to_pylist():
                 tokens = shingles(text, words)
@@ -250,7 +259,7 @@ def within_bound(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     right = bits.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             most = [
                 min(n_a - outside(x, y), n_b - outside(y, x))
                 for n_a, n_b, x, y in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)))
@@ -287,7 +296,7 @@ def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, words: int) -
     )
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found, tokens = [], []
             for cls, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = shingles(text, words)
@@ -308,7 +317,7 @@ def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, words: int) -
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -376,7 +385,7 @@ def open_groups(listed: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFr
     matrix = blocks(groups.join(sizes, "grp").join(bits, "cls"))
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out: list[tuple] = []
             for a, other, n, row, union, members in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if n - outside(row, union) < least_overlap(n):
@@ -405,7 +414,7 @@ def blocks(members: DataFrame) -> DataFrame:
     """(other, union, members): groups in blocks of about BLOCK classes with the union of their bits."""
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             unions = []
             for found in batch.column(1).to_pylist():
                 rows = [np.frombuffer(m["bits"], np.uint8) for m in found]

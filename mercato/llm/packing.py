@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.shingles import break_mask, words_of
-from mercato.llm.shared import read, shuffle_partitions, stored, text_of, tokenizer_path
+from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of, tokenizer_path
 
 BREAKS = break_mask(b" \n")
-TOGETHER = 1 << 20  # bytes of texts whose words are looked up together
+TOGETHER = 1 << 19  # bytes of texts whose words are looked up together
 
 PIECES = (
     "row long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -40,7 +40,7 @@ class _WordIds(dict):
     its model, under which many spellings meet. Any other run goes through all of it.
     """
 
-    def __init__(self, file: str, most: int = 200_000, most_letters: int = 300_000):
+    def __init__(self, file: str, most: int = 120_000, most_letters: int = 200_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -145,7 +145,7 @@ def pieces(
         _WORDS[tokenizer] = words
         end = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
-        for batch in batches:
+        for batch in small(batches):
             out: list[tuple] = []
             rows, doc_ids, texts = (batch.column(i).to_pylist() for i in range(3))
             for row, doc_id, ids in zip(rows, doc_ids, words.of(texts)):

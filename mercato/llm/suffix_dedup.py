@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.shingles import mix
-from mercato.llm.shared import broadcast_if_small, read, shuffle_partitions, stored, text_of
+from mercato.llm.shared import broadcast_if_small, read, shuffle_partitions, small, stored, text_of
 
 _U = np.uint64
 SEED = 32  # k, bytes of an anchor
@@ -164,7 +164,7 @@ def profiles(docs: DataFrame, length: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in small(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             classes, sizes, digests = [], [], []
             waiting: list[tuple[int, bytes]] = []
@@ -232,7 +232,7 @@ def surroundings(docs: DataFrame, found: DataFrame, owners: DataFrame, length: i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in small(batches):
             out: list[tuple] = []
             for cls, marks, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 data = text.encode()
@@ -395,7 +395,7 @@ def digest(docs: DataFrame, *, length: int = 400) -> DataFrame:
     owners = rows.groupBy("cls").agg(F.min("doc_id").alias("of"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for cls, spans, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 data = text.encode()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.shared import read, text_of, tokenizer_path
+from mercato.llm.shared import read, small, text_of, tokenizer_path
 
 SPACE = "▁"  # how the vocabulary writes a space
 START = ""  # no token before: the start of a text, a word, or after an unknown character
@@ -304,7 +304,7 @@ def token_counts(
         # The surroundings of a chunk are what a token that crosses its cut can reach.
         counter = _counter(vocabulary)
         reach = counter.automaton.longest
-        for batch in batches:
+        for batch in small(batches):
             rows, doc_ids, texts = (batch.column(i).to_pylist() for i in range(3))
             out: list[tuple] = []
             for row, doc_id, text in zip(rows, doc_ids, texts):
@@ -322,7 +322,7 @@ def token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(vocabulary)
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for row, doc_id, n_bytes, part, low, high, text in zip(
                 *(batch.column(i).to_pylist() for i in range(7))
@@ -335,7 +335,7 @@ def token_counts(
             yield _batch(out, MAPS)
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for doc_id, n_bytes, maps in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 total = scan([[tuple(x[k] for k in LINK_NAMES) for x in m["map"]] for m in maps])

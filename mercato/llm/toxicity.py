@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.shared import read, text_of
+from mercato.llm.shared import read, small, text_of
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -126,17 +126,24 @@ def train(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[Counter] = [Counter(), Counter()]
-        for batch in batches:
+
+        def rows() -> pa.RecordBatch:
+            names = list(seen[0].keys() | seen[1].keys())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array([seen[0][n] for n in names], pa.int64()),
+                 pa.array([seen[1][n] for n in names], pa.int64())],
+                names=["feature", "clean", "graded"],
+            )
+
+        for batch in small(batches, 100):
             texts, found = batch.column("text").to_pylist(), batch.column("grade").to_pylist()
             for text, g in zip(texts, found):
                 seen[g > 0].update(features(text))
                 seen[g > 0][""] += 1
-        names = list(seen[0].keys() | seen[1].keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([seen[0][n] for n in names], pa.int64()),
-             pa.array([seen[1][n] for n in names], pa.int64())],
-            names=["feature", "clean", "graded"],
-        )
+            if len(seen[0]) + len(seen[1]) > 100_000:
+                yield rows()
+                seen = [Counter(), Counter()]
+        yield rows()
 
     counts = (
         sample.select("text", "grade")
@@ -166,7 +173,7 @@ def train(
     place = {n: i for i, n in enumerate(names)}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = [
                 sorted(place[f] for f in features(text) & place.keys())
                 for text in batch.column("text").to_pylist()
@@ -204,7 +211,7 @@ def severity(docs: DataFrame, model: Model, *, reject: float = 0.5) -> DataFrame
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = np.array([model.score(t) for t in batch.column("text").to_pylist()])
             above = model.above(found)
             yield pa.RecordBatch.from_arrays(
