@@ -54,6 +54,11 @@ def sign_codes(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
     ).mapInArrow(encode, "vec_id long, bits int, code array<int>")
 
 
+def _sorted(df: DataFrame) -> DataFrame:
+    """``df``, to be joined by a sort: codes in a broadcast table could outgrow the driver."""
+    return df.hint("merge")
+
+
 def _distance(left: str, right: str) -> Column:
     parts = F.zip_with(left, right, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
     return F.aggregate(parts, F.lit(0), lambda total, n: total + n)
@@ -100,7 +105,7 @@ def top_k(codes: DataFrame, *, k: int = 10, query_step: int = 100) -> DataFrame:
             .select("bits", "wanted", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
         )
         new = (
-            probes.join(index, ["bits", "segment", "value"])
+            probes.join(_sorted(index), ["bits", "segment", "value"])
             .select("bits", "wanted", "code", "ids")
             .distinct()
             .withColumn("distance", _distance("wanted", "code"))
@@ -125,15 +130,15 @@ def top_k(codes: DataFrame, *, k: int = 10, query_step: int = 100) -> DataFrame:
         if radius == SEGMENT_BITS:
             done.append(met)
             break
-        done.append(met.join(state, ["bits", "wanted"], "left_semi"))
-        open_codes = stored(open_codes.join(state, ["bits", "wanted"], "left_anti"), "open-queries")
+        done.append(met.join(_sorted(state), ["bits", "wanted"], "left_semi"))
+        open_codes = stored(open_codes.join(_sorted(state), ["bits", "wanted"], "left_anti"), "open-queries")
         if open_codes.isEmpty():
             break
-        met = met.join(open_codes, ["bits", "wanted"], "left_semi")
+        met = met.join(_sorted(open_codes), ["bits", "wanted"], "left_semi")
     found = (
         reduce(DataFrame.unionByName, done)
         .join(
-            queries.select("bits", F.col("code").alias("wanted"), F.col("vec_id").alias("query_id")),
+            _sorted(queries.select("bits", F.col("code").alias("wanted"), F.col("vec_id").alias("query_id"))),
             ["bits", "wanted"],
         )
         .select("query_id", "distance", F.explode("ids").alias("vec_id"))
