@@ -134,7 +134,7 @@ class Transducer:
             total += delta
         return state, total
 
-    def trim(self, most: int = 200_000) -> None:
+    def trim(self, most: int = 120_000) -> None:
         """Forget the compiled states when there are many; they are compiled anew."""
         if len(self._states) > most:
             self._ids, self._states, self._next, self._valid = {}, [], [], {}
@@ -144,7 +144,7 @@ class Transducer:
 class TokenCounter(dict):
     """The transducer of a vocabulary file with runs it has already read, by word."""
 
-    def __init__(self, file: str, most: int = 400_000, longest: int = 64):
+    def __init__(self, file: str, most: int = 250_000, longest: int = 64):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -295,42 +295,43 @@ def token_counts(
     """(doc_id, n_bytes, n_tokens, over_limit) of every whole text.
 
     A null or empty text has no bytes and no tokens. Repeated rows and null ids stay
-    rows of their own. Texts longer than ``chunk`` characters are cut into chunks of
-    about that length, each counted as a row by itself, on any executor; the composed
-    maps of a text must leave exactly one count.
+    rows of their own. Texts of up to ``chunk`` characters are counted in place. Longer
+    ones are cut into chunks of about that length, which are dealt to all tasks and
+    counted as rows by themselves; the composed maps of a text must leave exactly one count.
     """
 
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(vocabulary)
+        for batch in small(batches):
+            texts = batch.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
+                 pa.array([counter.whole(t) for t in texts], pa.int64())],
+                schema=COUNTS,
+            )
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The surroundings of a chunk are what a token that crosses its cut can reach.
         counter = _counter(vocabulary)
         reach = counter.automaton.longest
-        for batch in small(batches):
-            rows, doc_ids, texts = (batch.column(i).to_pylist() for i in range(3))
-            out: list[tuple] = []
-            for row, doc_id, text in zip(rows, doc_ids, texts):
-                n_bytes = len(text.encode())
-                if len(text) <= chunk:
-                    out.append((row, doc_id, n_bytes, 0, 0, -1, text))
-                    continue
-                spaced = SPACE + text.replace(" ", SPACE)
-                ends = counter.cuts(spaced, chunk)
-                for n, (low, high) in enumerate(zip(ends, [*ends[1:], len(spaced)])):
-                    start = max(0, low - reach)
-                    around = spaced[start : high + reach]
-                    out.append((row, doc_id, n_bytes, n, low - start, high - start, around))
-            yield _batch(out, CHUNKS)
+        for batch in small(batches, 1):
+            ((row, doc_id, text),) = zip(*(batch.column(i).to_pylist() for i in range(3)))
+            n_bytes = len(text.encode())
+            spaced = SPACE + text.replace(" ", SPACE)
+            ends = counter.cuts(spaced, chunk)
+            for n, (low, high) in enumerate(zip(ends, [*ends[1:], len(spaced)])):
+                start = max(0, low - reach)
+                around = spaced[start : high + reach]
+                yield _batch([(row, doc_id, n_bytes, n, low - start, high - start, around)], CHUNKS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(vocabulary)
-        for batch in small(batches):
+        for batch in small(batches, 100):
             out = []
             for row, doc_id, n_bytes, part, low, high, text in zip(
                 *(batch.column(i).to_pylist() for i in range(7))
             ):
-                if high < 0:
-                    links = [(0, START, 0, START, counter.whole(text))]
-                else:
-                    links = counter.state_map(text, low, high)
+                links = counter.state_map(text, low, high)
                 out.append((row, doc_id, n_bytes, part, [dict(zip(LINK_NAMES, x)) for x in links]))
             yield _batch(out, MAPS)
 
@@ -344,21 +345,22 @@ def token_counts(
                 out.append((doc_id, n_bytes, total[0][4]))
             yield _batch(out, COUNTS)
 
-    chunks = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        text_of().alias("text"),
-    ).mapInArrow(cut, "row long, doc_id long, n_bytes long, part int, low int, high int, text string")
-    maps = chunks.mapInArrow(
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    counted = "doc_id long, n_bytes long, n_tokens long"
+    in_place = texts.filter(F.length("text") <= chunk).mapInArrow(whole, counted)
+    chunks = (
+        texts.filter(F.length("text") > chunk)
+        .select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+        .mapInArrow(cut, "row long, doc_id long, n_bytes long, part int, low int, high int, text string")
+    )
+    maps = chunks.repartition("row", "part").mapInArrow(
         count, f"row long, doc_id long, n_bytes long, part int, map array<{LINK}>"
     )
     by_text = maps.groupBy("row", "doc_id", "n_bytes").agg(
         F.sort_array(F.collect_list(F.struct("part", "map"))).alias("maps")
     )
-    counts = by_text.select("doc_id", "n_bytes", "maps").mapInArrow(
-        combine, "doc_id long, n_bytes long, n_tokens long"
-    )
-    return counts.withColumn("over_limit", F.col("n_tokens") > limit)
+    composed = by_text.select("doc_id", "n_bytes", "maps").mapInArrow(combine, counted)
+    return in_place.unionByName(composed).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 LINK_NAMES = ("over", "token", "to_over", "to_token", "n")
