@@ -109,40 +109,49 @@ def norms(matrix: np.ndarray) -> np.ndarray:
 def search_block(
     queries: np.ndarray, vectors: np.ndarray, sorted_: np.ndarray, places: np.ndarray, k: int
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the places and cosines of the vectors it has verified."""
+    """For each query the places and cosines of the vectors it has verified.
+
+    A round widens the windows of all queries that aren't done.
+    """
     n = len(vectors)
     length, q_length = norms(vectors), norms(queries)
     centres = lines(vectors.shape[1]) @ (queries / q_length[:, None]).T
     need = int(np.ceil(THRESHOLD * LINES))
-    for q in range(len(queries)):
-        counts = np.zeros(n, np.int16)
-        verified = np.zeros(n, bool)
-        scores = np.full(n, -np.inf)
-        low = [int(np.searchsorted(sorted_[j], centres[j, q])) for j in range(LINES)]
-        high = list(low)
-        width = WIDTH
-        while True:
-            for j in range(LINES):
-                at = int(np.searchsorted(sorted_[j], centres[j, q] - width))
-                to = int(np.searchsorted(sorted_[j], centres[j, q] + width, "right"))
-                at, to = min(at, low[j]), max(to, high[j])
-                counts[places[j, at : low[j]]] += 1
-                counts[places[j, high[j] : to]] += 1
-                low[j], high[j] = at, to
-            new = np.flatnonzero((counts >= need) & ~verified)
-            verified[new] = True
+    counts = np.zeros((len(queries), n), np.int16)
+    scores = np.full((len(queries), n), -np.inf)
+    verified = np.zeros((len(queries), n), bool)
+    low = np.stack([np.searchsorted(sorted_[j], centres[j]) for j in range(LINES)], axis=1)
+    high = low.copy()
+    going = np.arange(len(queries))
+    width = WIDTH
+    while len(going):
+        at = [np.searchsorted(sorted_[j], centres[j, going] - width) for j in range(LINES)]
+        to = [np.searchsorted(sorted_[j], centres[j, going] + width, "right") for j in range(LINES)]
+        at = np.minimum(np.stack(at, axis=1), low[going])
+        to = np.maximum(np.stack(to, axis=1), high[going])
+        done = np.zeros(len(going), bool)
+        for i, q in enumerate(going.tolist()):
+            left = zip(places, at[i].tolist(), low[q].tolist())
+            right = zip(places, high[q].tolist(), to[i].tolist())
+            entered = [line[x:y] for line, x, y in (*left, *right) if x < y]
+            if entered:
+                counts[q] += np.bincount(np.concatenate(entered), minlength=n).astype(np.int16)
+            new = np.flatnonzero((counts[q] >= need) & ~verified[q])
+            verified[q, new] = True
             # row by row the same sum, so that equal vectors have equal scores
-            scores[new] = (vectors[new] * queries[q]).sum(axis=1) / (length[new] * q_length[q])
-            seen = np.flatnonzero(verified)
+            scores[q, new] = (vectors[new] * queries[q]).sum(axis=1) / (length[new] * q_length[q])
+            seen = np.flatnonzero(verified[q])
             if len(seen) == n:
-                break
-            if len(seen) > k:
-                kth = np.partition(scores[seen], -(k + 1))[-(k + 1)]
+                done[i] = True
+            elif len(seen) > k:
+                kth = np.partition(scores[q, seen], -(k + 1))[-(k + 1)]
                 # distance of unit vectors with that cosine
-                if np.sqrt(max(0.0, 2 - 2 * kth)) <= REACH * width:
-                    break
-            width *= GROWTH
-        yield q, seen, scores[seen]
+                done[i] = np.sqrt(max(0.0, 2 - 2 * kth)) <= REACH * width
+            if done[i]:
+                yield q, seen, scores[q, seen]
+        low[going], high[going] = at, to
+        going = going[~done]
+        width *= GROWTH
 
 
 def nearest(
@@ -168,16 +177,20 @@ def nearest(
     asked = stored(
         blocks(
             vectors.filter(F.col(id_col).cast("long") % query_step == 0),
-            id_col=id_col, vector_col=vector_col, rows=1024, index=False,
+            id_col=id_col, vector_col=vector_col, rows=512, index=False,
         ).select("bits", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries")),
         "ann-queries",
     )
     # Every query block goes to every group of data blocks.
     groups = shuffle_partitions(spark)
     dealt = data.withColumn("group", F.pmod(F.xxhash64("first", "ids"), F.lit(groups)))
-    pairs = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn(
+    spread = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn(
         "group", F.col("group").cast("long")
-    ).join(dealt, ["bits", "group"])
+    )
+    # A given number of partitions: few bytes are much work here, so they aren't to be merged.
+    pairs = spread.repartition(groups, "bits", "group").join(
+        dealt.repartition(groups, "bits", "group").hint("merge"), ["bits", "group"]
+    )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
