@@ -24,7 +24,7 @@ from mercato.llm.shingles import break_mask, words_of
 from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of, tokenizer_path
 
 BREAKS = break_mask(b" \n")
-TOGETHER = 1 << 19  # bytes of texts whose words are looked up together
+TOGETHER = 1 << 20  # bytes of texts whose words are looked up together
 
 PIECES = (
     "row long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -40,7 +40,7 @@ class _WordIds(dict):
     its model, under which many spellings meet. Any other run goes through all of it.
     """
 
-    def __init__(self, file: str, most: int = 120_000, most_letters: int = 200_000):
+    def __init__(self, file: str, most: int = 120_000, most_letters: int = 320_000):
         from tokenizers import Tokenizer
 
         super().__init__()
