@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm import mixing, ngram_join, packing, suffix_dedup, toxicity
-from mercato.llm.shared import checkpoint_dir, read, ship, text_of
+from mercato.llm.shared import checkpoint_dir, passing_tables, read, ship, text_of
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +57,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: stretches of 400 bytes and more that occur elsewhere leave the texts."""
+    """Operator 10: stretches of 400 bytes or 51 words that occur elsewhere leave the texts."""
     ship(spark)
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs, words=51)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -90,7 +90,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     folder = f"{checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
     for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(f"{folder}/{name}")
+        with passing_tables(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(f"{folder}/{name}")
         docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
     return docs

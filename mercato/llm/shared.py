@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -30,16 +32,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within go at the end, when what is read from them must have been written."""
+    paths: list[str] = []
+    outer = _PASSING.set(paths)
+    try:
+        yield
+    finally:
+        _PASSING.reset(outer)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     What follows reads files instead of repeating the work, also after an executor is
     lost. The files stay, for the lazy result may be read at any time; they stand under
-    ``<spark.checkpoint.dir>/llm/<application id>`` and can go when the application ends.
+    ``<spark.checkpoint.dir>/llm/<application id>`` and can go when the application ends,
+    or with ``passing_tables``.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (paths := _PASSING.get()) is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

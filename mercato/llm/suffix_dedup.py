@@ -13,6 +13,9 @@ levels of about equal size are merged, so there are logarithmically many.
 
 Equal texts are one class, and equal surroundings are one entry with its count, so that
 many copies cost no more than a few.
+
+With ``words`` the units are words, hashed, in place of bytes: a stretch is ``length`` words,
+whatever white space is between them. Places and spans count words then.
 """
 
 from __future__ import annotations
@@ -32,9 +35,11 @@ from mercato.llm.shared import broadcast_if_small, read, shuffle_partitions, sma
 
 _U = np.uint64
 SEED = 32  # k, bytes of an anchor
+WORD_SEED = 12  # words of an anchor
 BASE = _U(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(400).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 BUFFER = 1 << 18  # bytes hashed at a time
+_SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
 
 
 def power(n: int) -> np.uint64:
@@ -42,11 +47,11 @@ def power(n: int) -> np.uint64:
 
 
 def rolling(data: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of all ``length``-byte substrings, put together from powers of two."""
+    """Hashes of all substrings of ``length`` bytes or hashed words, from powers of two."""
     n = len(data) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    part, size, done = _BYTE[data], 1, 0
+    part, size, done = _BYTE[data] if data.dtype == np.uint8 else data, 1, 0
     out = None
     left = length
     while True:
@@ -63,14 +68,37 @@ def rolling(data: np.ndarray, length: int) -> np.ndarray:
     return mix(out)
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def split_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end in bytes of each word."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[data], [True]])))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts, ends
+    longest = int((ends - starts).max())
+    powers = np.multiply.accumulate(np.full(longest, BASE))
+    inside = np.flatnonzero(~_SPACE[data])
+    sizes = ends - starts
+    begin = np.cumsum(sizes) - sizes
+    terms = _BYTE[data[inside]] * powers[np.arange(len(inside)) - np.repeat(begin, sizes)]
+    return mix(np.add.reduceat(terms, begin)), starts, ends
+
+
+def units(texts: list[bytes], words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes or hashed words of all texts, and where each text ends among them."""
+    if not words:
+        return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+    data, starts, _ = split_words(np.frombuffer(b" ".join(texts), np.uint8))
+    return data, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+
+
+def anchors(data: np.ndarray, ends: np.ndarray, length: int, seed: int = SEED) -> tuple[np.ndarray, ...]:
     """Anchors of the stretches of concatenated texts that end at ``ends``.
 
     Returns for each anchor the text's number, the first and the last stretch start that
     it stands for (in ``data``), and its hash.
     """
-    window = length - SEED + 1
-    hashes = rolling(data, SEED)
+    window = length - seed + 1
+    hashes = rolling(data, seed)
     n = len(data) - length + 1
     empty = np.zeros(0, np.int64)
     if n <= 0:
@@ -159,8 +187,8 @@ class SuffixLevels:
 # Steps
 
 
-def profiles(docs: DataFrame, length: int) -> DataFrame:
-    """A row (doc_id, cls, n_bytes, sha256) per document, rows (cls, first, last, hash) per anchor."""
+def profiles(docs: DataFrame, length: int, words: bool) -> DataFrame:
+    """A row (doc_id, cls, size, sha256) per document, rows (cls, first, last, hash) per anchor."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -173,48 +201,47 @@ def profiles(docs: DataFrame, length: int) -> DataFrame:
                 data = text.encode()
                 cls = content_class(data)
                 classes.append(cls)
-                sizes.append(len(data))
+                sizes.append(len(data.split()) if words else len(data))
                 digests.append(hashlib.sha256(data).hexdigest())
-                if len(data) >= length and cls not in seen:
+                if sizes[-1] >= length and cls not in seen:
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(cls)
                     waiting.append((cls, data))
                     held += len(data)
                     if held >= BUFFER:
-                        yield _anchor_rows(waiting, length)
+                        yield _anchor_rows(waiting, length, words)
                         waiting, held = [], 0
             if waiting:
-                yield _anchor_rows(waiting, length)
+                yield _anchor_rows(waiting, length, words)
             none = [None] * len(ids)
             yield _profile_rows(ids, classes, sizes, digests, none, none, none)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
         scan,
-        "doc_id long, cls long, n_bytes long, sha256 string, first long, last long, hash long",
+        "doc_id long, cls long, size long, sha256 string, first long, last long, hash long",
     )
 
 
 def _profile_rows(*columns) -> pa.RecordBatch:
-    names = ("doc_id", "cls", "n_bytes", "sha256", "first", "last", "hash")
+    names = ("doc_id", "cls", "size", "sha256", "first", "last", "hash")
     return pa.RecordBatch.from_arrays(
         [pa.array(c, pa.string() if k == "sha256" else pa.int64()) for c, k in zip(columns, names)],
         names=list(names),
     )
 
 
-def _anchor_rows(texts: list[tuple[int, bytes]], length: int) -> pa.RecordBatch:
-    data = np.frombuffer(b"".join(t for _, t in texts), np.uint8)
-    ends = np.cumsum([len(t) for _, t in texts])
-    text, first, last, hashes = anchors(data, ends, length)
+def _anchor_rows(texts: list[tuple[int, bytes]], length: int, words: bool) -> pa.RecordBatch:
+    data, ends = units([t for _, t in texts], words)
+    text, first, last, hashes = anchors(data, ends, length, WORD_SEED if words else SEED)
     base = np.concatenate([[0], ends[:-1]])[text]
     classes = np.array([c for c, _ in texts], np.int64)[text]
     none = [None] * len(text)
     return _profile_rows(none, classes, none, none, first - base, last - base, hashes)
 
 
-def surroundings(docs: DataFrame, found: DataFrame, owners: DataFrame, length: int) -> DataFrame:
-    """(cls, first, hash, entry, bytes) of anchors that occur more than once.
+def surroundings(docs: DataFrame, found: DataFrame, owners: DataFrame, length: int, words: bool) -> DataFrame:
+    """(cls, first, last, hash, entry, bytes) of anchors that occur more than once.
 
     ``entry`` is a hash of the surroundings, whose bytes each task gives once.
     """
@@ -238,15 +265,18 @@ def surroundings(docs: DataFrame, found: DataFrame, owners: DataFrame, length: i
                 data = text.encode()
                 if content_class(data) != cls:
                     continue
+                if words:
+                    _, starts, ends = split_words(np.frombuffer(data, np.uint8))
                 for mark in marks:
-                    around = data[mark["first"] : mark["last"] + length]
+                    at, to = mark["first"], mark["last"] + length
+                    around = data[starts[at] : ends[to - 1]] if words else data[at:to]
                     entry = xxhash.xxh3_64_intdigest(around) - (1 << 63)
                     new = entry not in seen
                     if new:
                         if len(seen) > 1_000_000:
                             seen.clear()
                         seen.add(entry)
-                    out.append((cls, mark["first"], mark["hash"], entry, around if new else None))
+                    out.append((cls, at, mark["last"], mark["hash"], entry, around if new else None))
                 if len(out) > 20_000:
                     yield _cut_rows(out)
                     out = []
@@ -256,20 +286,20 @@ def surroundings(docs: DataFrame, found: DataFrame, owners: DataFrame, length: i
     return (
         texts.join(broadcast_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("of")))
         .select("cls", "marks", "text")
-        .mapInArrow(cut, "cls long, first long, hash long, entry long, bytes binary")
+        .mapInArrow(cut, "cls long, first long, last long, hash long, entry long, bytes binary")
     )
 
 
 def _cut_rows(rows: list[tuple]) -> pa.RecordBatch:
-    names = ("cls", "first", "hash", "entry", "bytes")
-    columns = list(zip(*rows)) if rows else [()] * 5
+    names = ("cls", "first", "last", "hash", "entry", "bytes")
+    columns = list(zip(*rows)) if rows else [()] * 6
     return pa.RecordBatch.from_arrays(
         [pa.array(c, pa.binary() if k == "bytes" else pa.int64()) for c, k in zip(columns, names)],
         names=list(names),
     )
 
 
-def repeats(entries: DataFrame, length: int) -> DataFrame:
+def repeats(entries: DataFrame, length: int, words: bool) -> DataFrame:
     """(entry, low, high): stretch starts of an entry that also occur in another entry.
 
     ``entries`` has (hash, entry, n, bytes); entries with n > 1 are repeated as a whole
@@ -282,8 +312,8 @@ def repeats(entries: DataFrame, length: int) -> DataFrame:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 around = part.column(2).to_pylist()
-                data = np.frombuffer(b"".join(around), np.uint8)
-                sizes = np.array([len(x) for x in around])
+                data, ends = units(around, words)
+                sizes = np.diff(ends, prepend=0)
                 count = sizes - length + 1
                 begin = np.cumsum(sizes) - sizes
                 own = np.repeat(np.arange(len(around)), count)
@@ -318,32 +348,33 @@ def _repeat_rows(owner: np.ndarray, offset: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def repeated_spans(docs: DataFrame, *, length: int = 400) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, cls, n_bytes, sha256) and (cls, spans) of classes with repeats.
+def repeated_spans(
+    docs: DataFrame, *, length: int = 400, words: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, cls, size, sha256) and (cls, spans) of classes with repeats.
 
-    ``spans`` are intervals of bytes that may overlap; a class of several documents is
+    ``spans`` are intervals of bytes or words that may overlap; a class of several documents is
     repeated as a whole if it is long enough.
     """
-    found = stored(profiles(docs, length), "profiles")
-    rows = found.filter("n_bytes IS NOT NULL").select("doc_id", "cls", "n_bytes", "sha256")
+    found = stored(profiles(docs, length, words), "profiles")
+    rows = found.filter("size IS NOT NULL").select("doc_id", "cls", "size", "sha256")
     by_class = rows.groupBy("cls").agg(
-        F.min("doc_id").alias("owner"), F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes")
+        F.min("doc_id").alias("owner"), F.count("*").alias("copies"), F.max("size").alias("size")
     )
-    cut = stored(surroundings(docs, found, by_class.select("cls", "owner"), length), "surroundings")
+    cut = stored(surroundings(docs, found, by_class.select("cls", "owner"), length, words), "surroundings")
     entries = (
-        cut.select("hash", "entry", "cls", "first", "bytes")
+        cut.select("hash", "entry", "cls", "first", "last", "bytes")
         .groupBy("entry", "hash")
         .agg(
             # different places, not rows: a document may come more than once
             F.when(F.min(F.struct("cls", "first")) != F.max(F.struct("cls", "first")), 2).otherwise(1).alias("n"),
             F.max("bytes").alias("bytes"),
+            F.max(F.col("last") - F.col("first")).alias("high"),
         )
     )
     entries = stored(entries, "entries")
-    partial = repeats(entries.select("hash", "entry", "n", "bytes"), length)
-    whole = entries.filter("n > 1").select(
-        "entry", F.lit(0).cast("long").alias("low"), (F.length("bytes") - length).cast("long").alias("high")
-    )
+    partial = repeats(entries.select("hash", "entry", "n", "bytes"), length, words)
+    whole = entries.filter("n > 1").select("entry", F.lit(0).cast("long").alias("low"), "high")
     spans = (
         cut.select("cls", "first", "entry")
         .join(whole.unionByName(partial), "entry")
@@ -356,16 +387,16 @@ def repeated_spans(docs: DataFrame, *, length: int = 400) -> tuple[DataFrame, Da
         .groupBy("cls")
         .agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     )
-    copied = by_class.filter((F.col("copies") > 1) & (F.col("n_bytes") >= length)).select(
-        "cls", F.col("n_bytes").alias("all_bytes")
+    copied = by_class.filter((F.col("copies") > 1) & (F.col("size") >= length)).select(
+        "cls", F.col("size").alias("all_units")
     )
     spans = (
         spans.join(copied, "cls", "full")
         .select(
             "cls",
             F.when(
-                F.col("all_bytes").isNotNull(),
-                F.array(F.struct(F.lit(0).cast("long").alias("low"), F.col("all_bytes").alias("high"))),
+                F.col("all_units").isNotNull(),
+                F.array(F.struct(F.lit(0).cast("long").alias("low"), F.col("all_units").alias("high"))),
             )
             .otherwise(F.col("spans"))
             .alias("spans"),
@@ -417,34 +448,45 @@ def digest(docs: DataFrame, *, length: int = 400) -> DataFrame:
     )
     return rows.join(changed, "cls", "left").select(
         "doc_id",
-        "n_bytes",
+        F.col("size").alias("n_bytes"),
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("kept", "sha256").alias("kept_sha256"),
     )
 
 
-def without_repeats(docs: DataFrame, *, length: int = 400) -> DataFrame:
+def without_repeats(docs: DataFrame, *, length: int = 400, words: int | None = None) -> DataFrame:
     """``docs`` with the repeated stretches taken out of ``text``, n_chars counted anew.
 
-    A character cut in two goes with the stretch. Rows stay, also those left without text.
+    Stretches are those of ``length`` bytes and, where ``words`` is given, those of so many
+    words, both looked for in the whole texts. A character cut in two goes with the stretch.
+    Rows stay, also those left without text.
     """
-    rows, spans = repeated_spans(docs, length=length)
+    of_class = repeated_spans(docs, length=length)[1].withColumnRenamed("spans", "_spans")
+    if words is None:
+        of_class = of_class.withColumn("_words", F.lit(None).cast(of_class.schema["_spans"].dataType))
+    else:
+        in_words = repeated_spans(docs, length=words, words=True)[1]
+        of_class = of_class.join(in_words.withColumnRenamed("spans", "_words"), "cls", "full")
     names = docs.columns
 
     @F.udf("string")
-    def cut(text, spans):
-        if text is None or spans is None:
+    def cut(text, spans, in_words):
+        if text is None or (spans is None and in_words is None):
             return text
-        return _kept(text.encode(), [s.asDict() for s in spans])[0].decode(errors="ignore")
+        data = text.encode()
+        found = [s.asDict() for s in spans or ()]
+        if in_words:
+            _, starts, ends = split_words(np.frombuffer(data, np.uint8))
+            found += [{"low": starts[s["low"]], "high": ends[s["high"] - 1]} for s in in_words]
+        return _kept(data, found)[0].decode(errors="ignore")
 
     keyed = docs.withColumn("_cls", content_class_of(text_of()))
-    out = keyed.join(spans.select(F.col("cls").alias("_cls"), F.col("spans").alias("_spans")), "_cls", "left")
-    out = out.withColumn("text", cut(F.col("text"), F.col("_spans")))
+    out = keyed.join(of_class.withColumnRenamed("cls", "_cls"), "_cls", "left")
+    out = out.withColumn("text", cut(F.col("text"), F.col("_spans"), F.col("_words")))
     if "n_chars" in names:
-        out = out.withColumn(
-            "n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        )
+        same = F.col("_spans").isNull() & F.col("_words").isNull()
+        out = out.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("text")))
     return out.select(*[F.col(f"`{c}`") for c in names])
 
 

@@ -1,6 +1,7 @@
 """The stages one after another on a small table."""
 
 import corpus_pipeline
+from mercato.llm import suffix_dedup
 from tests.llm.conftest import prose
 
 
@@ -30,3 +31,54 @@ def test_stages(llm, documents, tmp_path):
     assert ids["suffix_array_dedup"] == ids["ngram_jaccard_join"]
     assert not any(passage in (r.text or "") for r in rows["suffix_array_dedup"])
     assert {r.doc_id for r in rows["best_fit_packing"]} <= ids["suffix_array_dedup"]
+
+
+def test_passages_of_51_words_leave_the_texts(llm, documents):
+    """Also where they have fewer than 400 bytes, and whatever white space is in them."""
+    words = [f"w{i}" for i in range(51)]
+    passage, shorter = " ".join(words), " ".join(f"v{i}" for i in range(50))
+    assert len(passage) < 400
+    long_words = "".join(f"{i:04d}" for i in range(100))  # 400 bytes, one word
+    table = [(i, f"{prose(30, i)} {passage} {prose(20, 20 + i)}") for i in (1, 2)]
+    table += [(3, prose(30, 3) + " " + "\n".join(words)), (4, passage)]
+    table += [(i, f"{prose(30, i)} {shorter} {prose(20, 20 + i)}") for i in (5, 6)]
+    table += [(i, f"{prose(30, i)} {i}{long_words}{i}") for i in (7, 8)]
+    got = {r.doc_id: r for r in corpus_pipeline.drop_repeats(llm, documents(*table), "").collect()}
+    for i in (1, 2):
+        assert got[i].text == f"{prose(30, i)}  {prose(20, 20 + i)}"
+        assert got[i].n_chars == len(got[i].text)
+    assert (got[3].text, got[4].text) == (prose(30, 3) + " ", "")
+    for i in (5, 6):
+        assert got[i].text == dict(table)[i]
+    for i in (7, 8):
+        assert got[i].text == f"{prose(30, i)} {i}{i}"
+    assert suffix_dedup.digest(documents(*table)).filter("doc_id IN (1, 2, 4) AND n_removed > 0").count() == 0
+
+
+def test_word_spans_against_brute_force(llm, documents):
+    texts = {i: prose(60 + 5 * i, 1 + i % 4) + (" \t" if i % 2 else "\n") + prose(30 * i, 9) for i in range(12)}
+    texts |= {20: "", 21: " ", 22: prose(500, 5), 23: "é " * 300}
+    _, spans = suffix_dedup.repeated_spans(documents(*texts.items()), length=20, words=True)
+    found = {r.cls: {n for s in r.spans for n in range(s.low, s.high)} for r in spans.collect()}
+    places = {}
+    for i, text in texts.items():
+        words = text.split()
+        for at in range(len(words) - 19):
+            places.setdefault(tuple(words[at : at + 20]), []).append((i, at))
+    wanted = {}
+    for where in places.values():
+        if len(where) > 1:
+            for i, at in where:
+                wanted.setdefault(suffix_dedup.content_class(texts[i].encode()), set()).update(range(at, at + 20))
+    assert found == wanted
+
+
+def test_run_leaves_only_what_the_stages_wrote(llm):
+    from pathlib import Path
+
+    from mercato.llm.shared import checkpoint_dir
+
+    folder = Path(checkpoint_dir(llm).removeprefix("file://")) / "llm" / llm.sparkContext.applicationId
+    before = {*folder.glob("*")}
+    assert corpus_pipeline.run(llm, "/root/testdata/sf0.001").count() > 0
+    assert {*folder.glob("*")} == before
