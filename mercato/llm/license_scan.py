@@ -1,7 +1,9 @@
 """Licence scan: notices by TF-IDF cosine to templates, then inheritance along paths.
 
-Every line and every paragraph of a file is compared with every template; the best one
-from ``threshold`` on is the file's licence. A file without one inherits from the nearest
+Every line and every paragraph of a file is compared with every template, and within longer
+ones every window of as many terms as the template has; the best one from ``threshold`` on
+is the file's licence. A template also names the terms that tell its licence from its
+neighbours: without them, or with those of a neighbour, it doesn't match. A file without one inherits from the nearest
 ancestor directory in which a file declares a licence.
 """
 
@@ -11,6 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,30 +21,110 @@ from pyspark.sql import functions as F
 
 from mercato.llm.shared import read, small, stored, text_of
 
+
+
+class Template(NamedTuple):
+    """A notice. ``needs`` must all be in what matches, ``bars`` not in it or ``NEAR`` terms around.
+
+    ``later`` and ``never`` must, or must not, be among the ``AHEAD`` terms from its start on,
+    for notices that only their conditions tell apart.
+    """
+
+    name: str
+    text: str
+    needs: str = ""
+    bars: str = ""
+    later: str = ""
+    never: str = ""
+
+
+NEAR, AHEAD = 4, 250
+# Says that there is no licence; gives way to any licence that a file or directory names.
+NO_LICENCE = "All-Rights-Reserved"
+
+
+def _creative_commons() -> Iterator[Template]:
+    long = {"nc": "NonCommercial", "sa": "ShareAlike", "nd": "NoDerivatives"}
+    other = {
+        "nc": "nc noncommercial commercial", "sa": "sa sharealike alike",
+        "nd": "nd noderivatives noderivs derivatives derivative derivs",
+    }
+    for parts in ((), ("nc",), ("sa",), ("nd",), ("nc", "sa"), ("nc", "nd")):
+        bars = " ".join(words for part, words in other.items() if part not in parts)
+        for version in ("4.0", "3.0", "2.5", "2.0"):
+            name = "-".join(["BY", *parts]).upper()
+            digits = version.replace(".", " ")
+            yield Template(
+                f"CC-{name}-{version}", f"Licensed under CC {name} {version}.", f"cc by {' '.join(parts)} {digits}", bars
+            )
+            title = "-".join(["Attribution", *(long[p] for p in parts)])
+            region = "International" if version == "4.0" else "Unported" if version == "3.0" else "Generic"
+            yield Template(
+                f"CC-{name}-{version}",
+                f"This work is licensed under a Creative Commons {title} {version} {region} License.",
+                f"creative commons {title.replace('-', ' ').lower()} {digits}",
+                bars,
+            )
+
+
+def _gnu() -> Iterator[Template]:
+    kinds = (
+        ("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.0", "Library", "2"),
+        ("LGPL-2.1", "Lesser", "2.1"), ("LGPL-3.0", "Lesser", "3"), ("AGPL-3.0", "Affero", "3"),
+    )
+    for name, kind, version in kinds:
+        title = f"GNU {kind} General Public License".replace("  ", " ")
+        needs = f"{kind.lower()} general public {version.replace('.', ' ')}"
+        bars = " ".join({"lesser", "library", "affero"} - {kind.lower()})
+        yield Template(name, f"This work is licensed under the {title}, version {version}.", needs, bars)
+        yield Template(
+            name,
+            f"This program is free software: you can redistribute it and/or modify it under the "
+            f"terms of the {title} as published by the Free Software "
+            f"Foundation, either version {version} of the License, or (at your option) any later version.",
+            needs,
+            bars,
+        )
+
+
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without "
+    "modification, are permitted provided that the following conditions are met"
+)
+
 # Names and customary notices of licences.
 TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License. See the LICENSE file for details."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-            "software and associated documentation files (the Software), to deal in the Software "
-            "without restriction, including without limitation the rights to use, copy, modify, "
-            "merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use "
-                   "this file except in compliance with the License. You may obtain a copy of the "
-                   "License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the "
-                "terms of the GNU General Public License as published by the Free Software "
-                "Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without "
-                     "modification, are permitted provided that the following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-                     "International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    Template("MIT", "Released under the MIT License.", "mit"),
+    Template("MIT", "Licensed under the MIT License. See the LICENSE file for details.", "mit"),
+    Template("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+                    "software and associated documentation files (the Software), to deal in the Software "
+                    "without restriction, including without limitation the rights to use, copy, modify, "
+                    "merge, publish, distribute, sublicense, and/or sell copies of the Software",
+             "permission granted sublicense"),
+    Template("ISC", "Released under the ISC License.", "isc"),
+    Template("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+                    "or without fee is hereby granted, provided that the above copyright notice and this "
+                    "permission notice appear in all copies.",
+             "permission fee granted appear", "documentation sell"),
+    Template("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+                     "or without fee is hereby granted.",
+             "permission fee granted", "provided documentation sell"),
+    Template("Apache-2.0", "Licensed under the Apache License, Version 2.0.", "apache 2 0"),
+    Template("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use "
+                           "this file except in compliance with the License. You may obtain a copy of the "
+                           "License at http://www.apache.org/licenses/LICENSE-2.0", "apache 2 0"),
+    *_gnu(),
+    Template("BSD-2-Clause", "Licensed under the BSD 2-Clause License.", "bsd 2 clause"),
+    Template("BSD-3-Clause", "Licensed under the BSD 3-Clause License.", "bsd 3 clause"),
+    Template("BSD-2-Clause", _BSD, "redistribution binary", later="reproduce", never="endorse advertising"),
+    Template("BSD-3-Clause", _BSD, "redistribution binary", later="reproduce endorse", never="advertising"),
+    Template("BSD-4-Clause", _BSD, "redistribution binary", later="reproduce endorse advertising"),
+    Template("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+             "mozilla 2 0"),
+    Template("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1",
+             "mozilla 1"),
+    *_creative_commons(),
+    Template(NO_LICENCE, "All rights reserved.", "all rights reserved"),
 )
 
 TERM = re.compile(r"\w+")
@@ -76,31 +159,40 @@ def document_frequencies(texts: DataFrame, wanted: Iterable[str]) -> tuple[int,
 class Matcher:
     """Cosine of tf-idf vectors to the templates.
 
-    A term outside the templates weighs like one that no text has. A match from
-    ``threshold`` on must share a heavy term with its template: the others together
-    have less than threshold squared of the template's squared length (Cauchy-Schwarz).
-    Texts without any heavy term are passed over.
+    A term outside the templates weighs like one that no text has. A match shares the
+    terms that its template needs, of which the rarest is looked for first. Without any,
+    a match from ``threshold`` on shares a heavy term with its template: the others
+    together have less than threshold squared of the template's squared length
+    (Cauchy-Schwarz). Texts without any such term are passed over.
     """
 
     def __init__(self, templates, texts: int, frequency: dict[str, int], threshold: float):
         self.threshold = threshold
+        templates = [Template(*t) for t in templates]
         self.idf = {
             t: math.log((1 + texts) / (1 + frequency.get(t, 0))) + 1
-            for _, text in templates
-            for t in terms(text)
+            for template in templates
+            for t in terms(template.text)
         }
         self.other = math.log(1 + texts) + 1
         self.heavy: set[str] = set()
-        self.templates: list[tuple[str, dict[str, float]]] = []
-        for name, text in templates:
-            vector = self.vector(terms(text))
-            self.templates.append((name, vector))
-            left = 1.0
-            for t in sorted(vector, key=lambda t: (-vector[t], t)):
-                if left < threshold * threshold * (1 - 1e-9):
-                    break
-                self.heavy.add(t)
-                left -= vector[t] ** 2
+        # template, its vector, its number of terms, terms of which a match has one, needs and the rest as sets
+        self.templates: list[tuple] = []
+        for template in templates:
+            found = terms(template.text)
+            vector = self.vector(found)
+            needs, *rest = (frozenset(x.split()) for x in template[2:])
+            if needs:
+                first = {min(needs, key=lambda t: (-vector.get(t, 0.0), t))}
+            else:
+                first, left = set(), 1.0
+                for t in sorted(vector, key=lambda t: (-vector[t], t)):
+                    if left < threshold * threshold * (1 - 1e-9):
+                        break
+                    first.add(t)
+                    left -= vector[t] ** 2
+            self.heavy |= first
+            self.templates.append((template, vector, len(found), first, needs, *rest))
 
     def vector(self, found: list[str]) -> dict[str, float]:
         raw = {t: n * self.idf.get(t, self.other) for t, n in Counter(found).items()}
@@ -108,23 +200,62 @@ class Matcher:
         return {t: w / length for t, w in raw.items()}
 
     def best(self, text: str) -> tuple[str, float, int] | None:
-        """(licence, cosine, terms of the line or paragraph) of the best match."""
-        if self.heavy.isdisjoint(terms(text)):
+        """(licence, cosine, terms of the line, paragraph or window) of the best match."""
+        every = terms(text)
+        if self.heavy.isdisjoint(every):
             return None
         best = None
+        begin = 0
         for paragraph in PARAGRAPH.split(text):
-            for unit in {paragraph, *paragraph.split("\n")}:
-                found = terms(unit)
-                if self.heavy.isdisjoint(found):
+            units = []
+            at = begin
+            for line in paragraph.split("\n"):
+                n = len(terms(line))
+                units.append((at, at + n))
+                at += n
+            if len(units) > 1:
+                units.append((begin, at))
+            for low, high in units:
+                # windows of the paragraph are those of its lines and more
+                key = self.best_of(every, low, high, windows=high - low == at - begin)
+                if key and (best is None or key > best):
+                    best = key
+            begin = at
+        return (best[3], min(1.0, best[1]), -best[2]) if best else None
+
+    def best_of(self, every: list[str], low: int, high: int, windows: bool) -> tuple | None:
+        """The greatest (is a licence, cosine, minus the terms, name) of a unit of terms."""
+        unit = every[low:high]
+        words = frozenset(unit)
+        if self.heavy.isdisjoint(words):
+            return None
+        best = None
+        whole = self.vector(unit)
+        for template, vector, size, first, needs, bars, later, never in self.templates:
+            if not needs <= words or first.isdisjoint(words):
+                continue
+            spans = {(low, high)}
+            if windows and size < high - low:
+                for at, term in enumerate(unit, low):
+                    if term in first:
+                        spans.update((x, x + size) for x in range(max(low, at - size + 1), min(at, high - size) + 1))
+            for a, b in spans:
+                inside = every[a:b]
+                if not needs.issubset(inside):
                     continue
-                vector = self.vector(found)
-                for name, template in self.templates:
-                    cosine = sum(w * vector.get(t, 0.0) for t, w in template.items())
-                    if cosine >= self.threshold:
-                        key = (round(cosine, 9), -len(found), name)
-                        if best is None or key > best:
-                            best = key
-        return (best[2], min(1.0, best[0]), -best[1]) if best else None
+                if not bars.isdisjoint(every[max(low, a - NEAR) : min(high, b + NEAR)]):
+                    continue
+                if later or never:
+                    ahead = every[a : b + AHEAD]
+                    if not later.issubset(ahead) or not never.isdisjoint(ahead):
+                        continue
+                weights = whole if (a, b) == (low, high) else self.vector(inside)
+                cosine = sum(w * weights.get(t, 0.0) for t, w in vector.items())
+                if cosine >= self.threshold:
+                    key = (template.name != NO_LICENCE, round(cosine, 9), a - b, template.name)
+                    if best is None or key > best:
+                        best = key
+        return best
 
 
 def scan(
@@ -138,15 +269,15 @@ def scan(
 
     ``origin`` is ``own``, ``inherited`` or null, ``license_path`` the file that says so.
     A file declares its directory's licence if it is named like a licence file or its
-    notice is at least ``bulk`` of its terms; of several the best score counts, then the
-    smallest path. Null texts have no licence, null paths no directory. The root
+    notice is at least ``bulk`` of its terms; of several a licence counts before reserved
+    rights, then the best score, then the smallest path. Null texts have no licence, null paths no directory. The root
     directory is the empty path. Directories, not files, look for their ancestors, and
     the last join splits a directory that holds a third of all files.
     """
     rows = files.select(
         "id", F.col("path").cast("string").alias("path"), text_of().alias("text")
     )
-    n, frequency = document_frequencies(rows.select("text"), {t for _, x in templates for t in terms(x)})
+    n, frequency = document_frequencies(rows.select("text"), {t for x in templates for t in terms(x[1])})
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(templates, n, frequency, threshold)
@@ -177,7 +308,13 @@ def scan(
             & (F.col("name").rlike(LICENCE_FILE) | (F.col("share") >= bulk))
         )
         .groupBy(F.col("dir").alias("ancestor"))
-        .agg(F.min(F.struct((-F.col("score")).alias("minus"), "path", "license")).alias("of"))
+        .agg(
+            F.min(
+                F.struct(
+                    (F.col("license") == NO_LICENCE).alias("none"), (-F.col("score")).alias("minus"), "path", "license"
+                )
+            ).alias("of")
+        )
     )
     parts = F.split("dir", "/")
     depth = F.when(F.col("dir") == "", 0).otherwise(F.size(parts))

@@ -255,6 +255,36 @@ def test_licenses_are_inherited_from_the_nearest_directory(llm):
     }
 
 
+def test_neighbouring_licenses_are_told_apart(llm):
+    work = "This work is licensed under the GNU"
+    bsd = license_scan._BSD + ":\n\n1. Source code must retain the notice.\n2. Binary forms must reproduce the notice."
+    cases = [
+        (f"{work} General Public License, version 2.", "GPL-2.0"),
+        (f"{work} General Public License, version 3.", "GPL-3.0"),
+        (f"{work} Affero General Public License, version 3.", "AGPL-3.0"),
+        (f"{work} Lesser General Public License, version 2.1.", "LGPL-2.1"),
+        (f"{work} General Public License, version 1.", None),
+        ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"), ("Licensed under CC BY-NC-SA 3.0.", "CC-BY-NC-SA-3.0"),
+        ("Licensed under CC BY-NC 1.0.", None),
+        ("This work is licensed under a Creative Commons Attribution-Share Alike 4.0 International License.", None),
+        ("Released under the MIT License.", "MIT"), ("Released under the ISC License.", "ISC"),
+        ("Released under the Zlib License.", None), ("All rights reserved.", "All-Rights-Reserved"),
+        ("Copyright 2020 A. All rights reserved.\nReleased under the MIT License.", "MIT"),
+        ("Licensed under the Apache License, Version 1.1.", None),
+        (bsd, "BSD-2-Clause"), (bsd + "\n3. No name may be used to endorse products.", "BSD-3-Clause"),
+        (license_scan._BSD, None),
+        # within long lines and paragraphs, also across line ends
+        (f"{prose(30, 1)} {work} General Public License, version 2. {prose(30, 2)}", "GPL-2.0"),
+        (f"{prose(30, 1)} {work} Lesser General\nPublic License, version 3. {prose(30, 2)}", "LGPL-3.0"),
+        (f"{prose(60, 3)} Licensed under CC BY-NC 4.0. {prose(60, 4)}", "CC-BY-NC-4.0"),
+        (prose(60, 5), None),
+    ]
+    files = llm.createDataFrame([(i, f"d{i}/x", t) for i, (t, _) in enumerate(cases)], "id long, path string, text string")
+    got = {r.id: r.license for r in license_scan.scan(files).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(cases)] == cases
+
+
 @pytest.mark.parametrize(
     "build",
     [
