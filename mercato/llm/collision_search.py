@@ -4,8 +4,9 @@ Every vector is projected on K random lines; a block of vectors keeps the projec
 of each line as a sorted array. A query opens a window around its own value in every
 array and counts in how many windows a vector lies. Vectors that collide in enough of
 them are verified with the exact cosine. Virtual rehashing widens all windows by a
-factor and counts only what is newly inside, until the k-th best verified vector lies
-within the distance that the windows cover, or the windows hold the whole block.
+factor and counts only what is newly inside, until more than k verified ids other than the
+query's own lie within the distance that the windows cover, or the windows hold the whole
+block. An id counts once, by its best vector.
 
 Blocks of queries meet blocks of vectors: the query set is stated (ids divisible by
 ``query_step``), and each pair of blocks returns k rows a query.
@@ -107,13 +108,21 @@ def norms(matrix: np.ndarray) -> np.ndarray:
 
 
 def search_block(
-    queries: np.ndarray, vectors: np.ndarray, sorted_: np.ndarray, places: np.ndarray, k: int
+    queries: np.ndarray,
+    query_ids: np.ndarray,
+    vectors: np.ndarray,
+    ids: np.ndarray,
+    sorted_: np.ndarray,
+    places: np.ndarray,
+    k: int,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query the places and cosines of the vectors it has verified.
 
     A round widens the windows of all queries that aren't done.
     """
     n = len(vectors)
+    of_id = np.unique(ids, return_inverse=True)[1]
+    n_ids = int(of_id.max()) + 1
     length, q_length = norms(vectors), norms(queries)
     centres = lines(vectors.shape[1]) @ (queries / q_length[:, None]).T
     need = int(np.ceil(THRESHOLD * LINES))
@@ -144,9 +153,16 @@ def search_block(
             if len(seen) == n:
                 done[i] = True
             elif len(seen) > k:
-                kth = np.partition(scores[q, seen], -(k + 1))[-(k + 1)]
-                # distance of unit vectors with that cosine
-                done[i] = np.sqrt(max(0.0, 2 - 2 * kth)) <= REACH * width
+                others = seen[ids[seen] != query_ids[q]]
+                near = scores[q, others]
+                if n_ids < n:
+                    best = np.full(n_ids, -np.inf)
+                    np.maximum.at(best, of_id[others], near)
+                    near = best[best > -np.inf]
+                if len(near) > k:
+                    last = np.partition(near, -(k + 1))[-(k + 1)]
+                    # distance of unit vectors with that cosine
+                    done[i] = np.sqrt(max(0.0, 2 - 2 * last)) <= REACH * width
             if done[i]:
                 yield q, seen, scores[q, seen]
         low[going], high[going] = at, to
@@ -201,7 +217,9 @@ def nearest(
                 out: list[tuple[np.ndarray, ...]] = []
                 for q, seen, scores in search_block(
                     np.frombuffer(row["queries"]).reshape(-1, bits),
+                    query_ids,
                     np.frombuffer(row["vectors"]).reshape(-1, bits),
+                    ids,
                     np.frombuffer(row["sorted"]).reshape(LINES, -1),
                     np.frombuffer(row["places"], np.int32).reshape(LINES, -1),
                     k,

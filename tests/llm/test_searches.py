@@ -87,6 +87,27 @@ def test_nearest_neighbours(llm):
     assert found >= 0.9 * wanted
 
 
+def test_repeated_rows_leave_room_for_other_neighbours(llm):
+    """Queries and candidates that stand ten times in a block, and one with ten vectors."""
+    table = [(i, v) for i, v in usable(vectors(300, 16, 3)) if len(v) == 16 and any(v)]
+    rows = dict(table)
+    near = tuple(x + 0.001 for x in rows[50])
+    table += [(50, rows[50])] * 9 + [(1000, near)] * 10 + [(100, rows[100])] * 9
+    table += [(1001, tuple(x + 0.0001 * j for x in rows[100])) for j in range(1, 11)]
+    df = llm.createDataFrame([(i, list(v)) for i, v in table], "vec_id long, embedding array<double>")
+    got = {}
+    for r in collision_search.nearest(df.coalesce(1), block_rows=4096).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    best = {q: {} for q in (50, 100)}
+    for q in best:
+        for i, v in table:
+            if i != q:
+                best[q][i] = max(best[q].get(i, -1), round(cosine(rows[q], v), 12))
+        assert len(got[q]) == 5
+        wanted = sorted(best[q], key=lambda i: (-best[q][i], i))[:5]
+        assert len({*got[q]} & {*wanted}) >= 4 and wanted[0] in got[q]
+
+
 def test_hamming_search_is_exact(llm):
     table = vectors(500, 40, 2)
     df = llm.createDataFrame([(*r, 0) for r in table], "vec_id long, embedding array<double>, code long")
