@@ -109,7 +109,8 @@ def train(
     of at least ``min_docs`` texts whose share among graded texts exceeds that among clean
     ones by at least ``min_z`` standard errors. The driver receives at most
     ``max_features`` of them and, of the sample, the places of features.
-    Without labels, or without graded ones, nothing is toxic.
+    Without labels, without graded or without clean ones there is nothing to tell apart:
+    no feature is fit and nothing is toxic.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), grade.cast("int").alias("grade"))
@@ -155,7 +156,7 @@ def train(
     from_counts = counts.filter("feature = ''").first()
     n0, n1 = (from_counts["clean"], from_counts["graded"]) if from_counts else (0, 0)
     if not n0 or not n1:
-        return Model({}, tuple(math.inf if not n1 else -math.inf for _ in range(grades - 1)))
+        return Model({}, (math.inf,) * (grades - 1))
     pooled = (F.col("clean") + F.col("graded")) / F.lit(n0 + n1)
     spread = F.sqrt(pooled * (1 - pooled) * F.lit(1 / n0 + 1 / n1))
     best = (

@@ -234,6 +234,15 @@ def test_toxicity_on_held_out_rows(llm, documents):
     assert not any(r.toxic for r in toxicity.severity(docs, none).collect())
 
 
+@pytest.mark.parametrize("toxic", [0, 1])
+def test_labels_of_one_kind_reject_nothing(llm, documents, toxic):
+    docs = documents(*[(i, prose(30, i)) for i in range(40)])
+    labels = llm.createDataFrame([(i, 1, toxic) for i in range(20)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels, grade=toxicity.label_grade(), grades=toxicity.GRADES)
+    assert toxicity.without_toxic(docs, model).count() == 40
+    assert toxicity.severity(docs, model).filter("toxic OR grade > 0 OR severity > 0").count() == 0
+
+
 def test_licenses_are_inherited_from_the_nearest_directory(llm):
     text = prose(100, 1)
     files = llm.createDataFrame(
