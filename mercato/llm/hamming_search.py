@@ -6,7 +6,8 @@ have been looked up, every code within that distance has been met. A query is do
 its k-th verified distance is covered in that sense; the others go on with radius r + 1.
 
 Equal codes are one entry with their k + 1 smallest ids, which is all that a result can
-show of them, so a code that a third of all rows share is an ordinary entry.
+show of them, so a code that a third of all rows share is an ordinary entry. Of an id with
+several codes only the nearest to a query counts.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def top_k(codes: DataFrame, *, k: int = 10, query_step: int = 100) -> DataFrame:
         "bits", "code", "ids", F.posexplode("code").alias("segment", "value")
     )
     open_codes = queries.select("bits", F.col("code").alias("wanted")).distinct()
-    # codes met so far, of queries that aren't done; done queries
+    # ids met so far, of queries that aren't done; done queries
     met: DataFrame | None = None
     done: list[DataFrame] = []
     for radius in range(SEGMENT_BITS + 1):
@@ -108,22 +109,23 @@ def top_k(codes: DataFrame, *, k: int = 10, query_step: int = 100) -> DataFrame:
             probes.join(_sorted(index), ["bits", "segment", "value"])
             .select("bits", "wanted", "code", "ids")
             .distinct()
-            .withColumn("distance", _distance("wanted", "code"))
+            .select("bits", "wanted", _distance("wanted", "code").alias("distance"), F.explode("ids").alias("vec_id"))
         )
         if met is not None:
-            new = new.unionByName(met).distinct()
-        # Of a query code only the k + 1 nearest codes can matter: each has an id.
-        nearest = Window.partitionBy("bits", "wanted").orderBy("distance", F.col("ids")[0])
+            new = new.unionByName(met)
+        new = new.groupBy("bits", "wanted", "vec_id").agg(F.min("distance").alias("distance"))
+        # Only the k + 1 nearest ids can matter: the query's own may be among them.
+        nearest = Window.partitionBy("bits", "wanted").orderBy("distance", "vec_id")
         met = stored(
             new.withColumn("n", F.row_number().over(nearest)).filter(F.col("n") <= k + 1).drop("n"),
-            "codes-met",
+            "ids-met",
         )
         covered = F.size("wanted") * (radius + 1) - 1
         # k others within the covered distance: k + 1 with the query itself
         state = (
             met.filter(F.col("distance") <= covered)
             .groupBy("bits", "wanted")
-            .agg(F.sum(F.size("ids")).alias("n"))
+            .agg(F.count("*").alias("n"))
             .filter(F.col("n") >= k + 1)
             .select("bits", "wanted")
         )
@@ -141,7 +143,7 @@ def top_k(codes: DataFrame, *, k: int = 10, query_step: int = 100) -> DataFrame:
             _sorted(queries.select("bits", F.col("code").alias("wanted"), F.col("vec_id").alias("query_id"))),
             ["bits", "wanted"],
         )
-        .select("query_id", "distance", F.explode("ids").alias("vec_id"))
+        .select("query_id", "distance", "vec_id")
         .filter(F.col("query_id") != F.col("vec_id"))
         .groupBy("query_id", "vec_id")
         .agg(F.min("distance").alias("distance"))

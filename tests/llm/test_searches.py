@@ -123,6 +123,28 @@ def test_hamming_search_is_exact(llm):
             assert got.get(q, {}) == {n + 1: (i, d) for n, (d, i) in enumerate(best)}
 
 
+def test_hamming_search_counts_an_id_once(llm):
+    """An id with more codes near a query than there are places."""
+    draw = random.Random(4)
+    table = [(i, [draw.choice((-1.0, 1.0)) for _ in range(40)]) for i in range(200)]
+    for q in (0, 100):
+        for bit in range(30):
+            table.append((q + 1, [-x if j == bit else x for j, x in enumerate(table[q][1])]))
+            table.append((q, [-x if j in (bit, bit + 1) else x for j, x in enumerate(table[q][1])]))
+    df = llm.createDataFrame(table, "vec_id long, embedding array<double>")
+    got = {}
+    for r in hamming_search.top_k(hamming_search.sign_codes(df), k=7).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.distance)
+    for q in (0, 100):
+        best = {}
+        for i, c in table:
+            for j, d in table:
+                if i == q and j != q:
+                    best[j] = min(best.get(j, 99), sum(a != b for a, b in zip(c, d)))
+        nearest = sorted((d, j) for j, d in best.items())[:7]
+        assert got[q] == {n + 1: (j, d) for n, (d, j) in enumerate(nearest)}
+
+
 def test_empty_vectors(llm):
     df = llm.createDataFrame([], "vec_id long, embedding array<double>")
     assert collision_search.nearest(df).count() == 0
