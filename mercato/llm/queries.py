@@ -13,6 +13,9 @@ from mercato.llm import (
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
+    secret_scan,
+    spelling_variants,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -32,6 +35,9 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         toxicity.op8_toxicity,
         hamming_search.op9_exact_hamming_search,
         suffix_dedup.op10_suffix_dedup,
+        secret_scan.op11_secret_scan,
+        spelling_variants.op12_spelling_variants,
+        periodic_runs.op13_periodic_runs,
     )
 }
 
