@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.shared import SPACES, WORD, read, small, text_of
+from mercato.llm.shared import CRC_SQL, SPACES, WORD, crc_sql, read, small, text_of
 
 PERIODS, WORDS = 4, 6
 
@@ -312,3 +312,63 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sha2("collapsed", 256).alias("collapsed_sha256"),
         )
     )
+
+
+OP13_SQL = f"""
+WITH {CRC_SQL},
+raw AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, CAST(doc_id AS VARCHAR) AS id,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+hashed AS (
+  SELECT r, doc_id, w, len(w) AS n,
+    {crc_sql("id")} AS h
+  FROM raw, crc_table
+),
+tails AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM hashed
+),
+periods AS (
+  SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM tails
+),
+places AS (
+  SELECT r, n, w, a, p, unnest(range(n)) AS i FROM periods
+),
+words AS MATERIALIZED (
+  SELECT r, n, i, w[CASE WHEN i >= a THEN a + (i - a) % p ELSE i END + 1] AS word FROM places
+),
+equal AS (
+  SELECT x.r, y.i - x.i AS q, x.i
+  FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+),
+islands AS (
+  SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM equal
+),
+stretches AS (
+  SELECT r, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY r, q, g
+  HAVING count(*) + q >= greatest(6, 4 * q)
+),
+runs AS MATERIALIZED (
+  SELECT * FROM stretches x WHERE NOT EXISTS (
+    FROM stretches y WHERE y.r = x.r AND y.q < x.q AND y.s <= x.s AND x.s + x.l <= y.s + y.l)
+),
+of_doc AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listed
+  FROM runs GROUP BY r
+),
+best AS (
+  SELECT x.* FROM runs x WHERE NOT EXISTS (
+    FROM runs y WHERE y.r = x.r AND (y.l * x.q > x.l * y.q
+      OR y.l * x.q = x.l * y.q AND (y.s < x.s OR y.s = x.s AND y.q < x.q)))
+),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words w
+  WHERE NOT EXISTS (FROM runs x WHERE x.r = w.r AND w.i >= x.s + x.q AND w.i < x.s + x.l)
+  GROUP BY r
+)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, q AS period,
+  1000 * l // q AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM hashed d LEFT JOIN of_doc USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""

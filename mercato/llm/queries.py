@@ -44,4 +44,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op5_url_filters": url_filter.OP5_SQL,
     "op9_exact_hamming_search": hamming_search.OP9_SQL,
+    "op11_secret_scan": secret_scan.OP11_SQL,
+    "op12_spelling_variants": spelling_variants.OP12_SQL,
+    "op13_periodic_runs": periodic_runs.OP13_SQL,
 }

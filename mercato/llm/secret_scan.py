@@ -215,3 +215,90 @@ def op11_secret_scan(spark, sf_dir: str) -> DataFrame:
         F.sha2(_listed("strong"), 256).alias("base_sha256"),
         _listed("spans").alias("spans"),
     )
+
+
+def _either_case(pattern: str) -> str:
+    """The pattern with ASCII letters outside of classes and escapes in either case."""
+    parts = re.split(r"(\[[^\]]*\]|\\x[0-9A-Fa-f]{2})", pattern)
+    return "".join(
+        part if i % 2 else re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", part)
+        for i, part in enumerate(parts)
+    )
+
+
+def _sql() -> str:
+    quoted = lambda pattern: "'" + pattern.replace("'", "''") + "'"
+    patterns = [_either_case(ASSIGN), ACCESS, HEX, _either_case(ENDPOINT), _either_case(ACCOUNT), KEY]
+    value = lambda k, group: f"length(regexp_extract(found, {quoted(patterns[k])}, {group}))"
+    keeps = [
+        f"{value(0, 2)} >= {LEAST_VALUE}", f"length(found) >= {LEAST_ACCESS}", f"length(found) >= {LEAST_HEX}",
+        "true", f"{value(4, 2)} >= {LEAST_ACCOUNT}",
+        f"length(found) >= {LEAST_KEY} AND regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[a-z]')"
+        " AND regexp_matches(found, '[0-9]')",
+    ]
+    kinds = "".join(
+        f"""
+pieces{k} AS (
+  SELECT r, unnest(string_split(regexp_replace(text, {quoted(p)}, chr(1) || '\\0' || chr(2), 'g'), chr(1))) AS piece,
+    generate_subscripts(string_split(regexp_replace(text, {quoted(p)}, chr(1) || '\\0' || chr(2), 'g'), chr(1)), 1) AS i
+  FROM raw
+),
+kind{k} AS MATERIALIZED (
+  SELECT r, {k} AS kind, low, low + length(found) AS high FROM (
+    SELECT r, i, split_part(piece, chr(2), 1) AS found,
+      coalesce(sum(length(replace(piece, chr(2), ''))) OVER (
+        PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low
+    FROM pieces{k})
+  WHERE i > 1 AND {keeps[k]}
+),"""
+        for k, p in enumerate(patterns)
+    )
+    overlaps = "x.r = y.r AND x.low < y.high AND y.low < x.high"
+    for k, before in enumerate(("strong", "first", "second"), STRONG):
+        name = ("first", "second", "parts")[k - STRONG]
+        kinds += f"""
+{name} AS MATERIALIZED (
+  FROM {before} UNION ALL
+  SELECT * FROM kind{k} x WHERE NOT EXISTS (FROM {before} y WHERE {overlaps})
+),"""
+    role = lambda names: f"IN ({', '.join(str(k) for k, r in enumerate(ROLES) if r == names)})"
+    near = lambda r: (
+        f"EXISTS (FROM placed y WHERE y.r = x.r AND y.scope = x.scope AND y.kind {role(r)} AND abs(y.low - x.low) <= 200)"
+    )
+    complete = " OR ".join(
+        f"kind = {k} AND " + " AND ".join(map(near, needs)) for k, needs in NEEDS.items()
+    )
+    names = f"[{', '.join(map(quoted, KINDS))}]"
+    listed = f"string_agg({names}[kind + 1] || ':' || low || ':' || high, ',' ORDER BY low, kind, high)"
+    strong = " UNION ALL ".join(f"FROM kind{k}" for k in range(STRONG))
+    head, tail = kinds.split("\npieces3 AS", 1)
+    return f"""
+WITH raw AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+    translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) AS text
+  FROM documents
+),{head}
+strong AS MATERIALIZED ({strong}),
+pieces3 AS{tail}
+placed AS MATERIALIZED (
+  SELECT p.*, len(regexp_extract_all(substr(text, 1, CAST(low AS BIGINT)), '\\n[ \\t\\r]*\\n')) AS scope
+  FROM parts p JOIN raw USING (r)
+),
+reported AS (
+  SELECT * FROM placed x WHERE kind < {STRONG} OR {complete}
+),
+base AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+    count(*) FILTER (kind = 2) AS n_hex, {listed} AS listed
+  FROM strong GROUP BY r
+),
+spans AS (
+  SELECT r, {listed} AS spans FROM reported GROUP BY r
+)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(listed, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM raw LEFT JOIN base USING (r) LEFT JOIN spans USING (r)
+"""
+
+
+OP11_SQL = _sql()

@@ -126,3 +126,23 @@ def tokenizer_path(file: str) -> str:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+
+
+# CTE for SQL checks: the table of the 32-bit checksum, one list, from its polynomial.
+CRC_SQL = """crc_table AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS crc_of FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, i) AS c
+    FROM range(256) AS t(i))
+)"""
+
+
+def crc_sql(letters: str) -> str:
+    """SQL for the checksum of a text of code points up to 255, next to ``CRC_SQL``."""
+    utf8 = (
+        f"flatten(list_transform(string_split({letters}, ''), lambda x: CASE WHEN unicode(x) < 128 "
+        "THEN [CAST(unicode(x) AS BIGINT)] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END))"
+    )
+    return (
+        f"xor(4294967295, list_reduce({utf8}, lambda c, b: xor(c // 256, crc_of[xor(c, b) % 256 + 1]), "
+        "CAST(4294967295 AS BIGINT)))"
+    )

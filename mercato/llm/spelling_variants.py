@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.shared import read, shuffle_partitions, stored, text_of
+from mercato.llm.shared import CRC_SQL, crc_sql, read, shuffle_partitions, stored, text_of
 
 LETTERS = r"A-Za-zÀ-ÿ"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -284,3 +284,53 @@ def variants(words: DataFrame, *, ratio: int = 10) -> DataFrame:
 
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(word_counts(read(spark, sf_dir, "documents"), slip=31))
+
+
+OP12_SQL = f"""
+WITH RECURSIVE {CRC_SQL},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all(coalesce(text, ''), '[{LETTERS}]{{7,}}')) AS run
+  FROM documents
+),
+lower_runs AS (
+  SELECT id, translate(run, '{UPPER}', '{LOWER}') AS run, count(*) AS n FROM runs GROUP BY ALL
+),
+hashed AS (
+  SELECT *, {crc_sql("id || ':' || run")} AS h FROM lower_runs, crc_table
+),
+counted AS MATERIALIZED (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1
+),
+words AS MATERIALIZED (
+  SELECT * FROM counted WHERE length(word) >= 7 AND n >= 2
+),
+skips AS MATERIALIZED (
+  SELECT word, substr(word, 1, i) AS front, substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+),
+near AS (
+  SELECT a.word, b.word AS other FROM skips a JOIN skips b USING (front, rest) WHERE a.word <> b.word
+  UNION SELECT s.word, w.word FROM skips s JOIN words w ON w.word = s.front || s.rest
+  UNION SELECT w.word, s.word FROM skips s JOIN words w ON w.word = s.front || s.rest
+),
+judged AS MATERIALIZED (
+  SELECT w.word, any_value(w.n) AS n, count(o.word) AS n_near,
+    first(o.word ORDER BY o.n DESC, o.word) AS best, max(o.n) AS best_n
+  FROM words w LEFT JOIN near USING (word) LEFT JOIN words o ON o.word = near.other
+  GROUP BY w.word
+),
+forms AS MATERIALIZED (
+  SELECT word, n, n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+    CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+  FROM judged
+),
+chains (word, root) AS (
+  SELECT word, word FROM forms
+  UNION ALL SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chains c USING (word) JOIN forms last ON last.word = c.root AND last.form IS NULL
+"""

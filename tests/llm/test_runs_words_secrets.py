@@ -305,3 +305,16 @@ def test_ties_of_runs_go_to_the_earlier(llm):
     rows = periodic_runs.periodic_runs(llm.createDataFrame([(1, "a a a a a a b b b b b b")], "doc_id long, text string"))
     best = F.get(F.array_sort("runs", periodic_runs._order), F.lit(0))
     assert rows.select(best.alias("x")).first().x == (0, 6, 1)
+
+
+def test_sql_of_the_secret_query_on_every_piece(llm, tmp_path):
+    """The SQL of the check, on texts that hold weak parts, which the test tables lack."""
+    import duckdb
+
+    table = [r for r in secret_table() if r[0] != 500]
+    docs = clashing(llm, table)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = Counter(map(tuple, secret_scan.op11_secret_scan(llm, str(tmp_path)).collect()))
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert Counter(con.execute(secret_scan.OP11_SQL).fetchall()) == got
