@@ -51,6 +51,14 @@ _APPROVED = f"{_PURCHASED} + 3600 * (o_orderkey % 37)"
 _CARRIED = f"{_APPROVED} + 3600 * ((o_orderkey * 7) % 97)"
 _RECEIVED = f"{_CARRIED} + 3600 * ((o_orderkey * 11) % 613)"
 
+# Text that stands for a missing value, and text that only looks like it.
+TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+ALIKE = ("na", "Null", " NA", "none", "-", "0")
+TOKEN_LIST, ALIKE_LIST = str(list(TOKENS)), str(list(ALIKE))
+
 ORDER_TIMES = (
     "order_purchase_timestamp",
     "order_approved_at",
@@ -60,6 +68,11 @@ ORDER_TIMES = (
 )
 
 CTES = {
+    "part_categories": """
+        SELECT *, CASE WHEN p_partkey % 499 IN (7, 207, 407)
+                           THEN 'RARE_' || cast(p_partkey % 499 AS varchar)
+                       ELSE p_type || '_' || cast(p_partkey % 3 AS varchar) END AS category
+        FROM part""",
     "base_orders": f"""
         SELECT o_orderkey AS order_id, o_custkey AS customer_id,
                CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped'
@@ -82,34 +95,42 @@ CTES = {
                strftime(order_purchase_timestamp, '%Y-%m') AS purchase_month
         FROM base_orders""",
     "s_items": """
-        SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
-               CASE l_suppkey % 4 WHEN 0 THEN l_suppkey * 100000 + l_partkey % 97
-                                  WHEN 1 THEN l_suppkey * 100000 + l_partkey % 7
-                                  ELSE l_suppkey END AS seller_id,
+        SELECT CASE WHEN l_orderkey % 1009 = 17 THEN -l_orderkey ELSE l_orderkey END AS order_id,
+               l_linenumber AS order_item_id,
+               CASE WHEN l_partkey % 887 = 5 THEN -l_partkey ELSE l_partkey END AS product_id,
+               CASE WHEN l_orderkey % 7 = 3 AND l_orderkey * 11 % 613 < 200 AND l_suppkey % 4 = 2
+                        THEN 700000000 + l_suppkey % 3
+                    WHEN l_suppkey % 4 = 0 THEN l_suppkey * 100000 + l_partkey % 97
+                    WHEN l_suppkey % 4 = 1 THEN l_suppkey * 100000 + l_partkey % 7
+                    ELSE l_suppkey END AS seller_id,
                cast(l_extendedprice AS decimal(10,2)) AS price,
                cast(l_quantity + l_tax AS decimal(10,2)) AS freight_value
         FROM lineitem""",
     "s_products": """
         SELECT p_partkey AS product_id,
-               CASE WHEN p_partkey % 13 = 0 THEN 'unknown' ELSE p_type END
+               CASE WHEN p_partkey % 13 = 0 THEN 'unknown' ELSE category END
                    AS product_category_name,
-               CASE WHEN p_partkey % 13 <> 0 AND p_type <> 'PROMO'
-                    THEN 'en_' || lower(p_type) END AS product_category_name_english
-        FROM part""",
+               CASE WHEN p_partkey % 13 <> 0 AND NOT starts_with(category, 'PROMO')
+                    THEN 'en_' || lower(category) END AS product_category_name_english
+        FROM part_categories""",
     "s_customers": """
         SELECT c_custkey AS customer_id, c_custkey - c_custkey % 2 AS customer_unique_id,
                'CITY_' || cast(c_custkey % 101 AS varchar) AS customer_city,
-               'ST_' || cast(c_custkey % 20 AS varchar) AS customer_state
-        FROM customer""",
+               CASE WHEN c_custkey % 251 = 5 THEN 'ST_FEW'
+                    ELSE 'ST_' || cast(c_custkey % 20 AS varchar) END AS customer_state
+        FROM customer WHERE c_custkey % 199 <> 11""",
     "s_payments": """
-        SELECT o_orderkey AS order_id, 1 AS payment_sequential FROM orders
-        UNION ALL
-        SELECT o_orderkey, 2 FROM orders WHERE o_orderkey % 5 = 0""",
+        SELECT CASE WHEN o_orderkey % 1013 = 9 THEN -o_orderkey ELSE o_orderkey END AS order_id,
+               n AS payment_sequential
+        FROM orders CROSS JOIN (VALUES (1), (2)) AS numbers(n)
+        WHERE n = 1 OR o_orderkey % 5 = 0""",
     "base_reviews": """
         SELECT event_id - (CASE WHEN event_id % 50 = 49 THEN 1 ELSE 0 END) AS review_id,
                event_id - (CASE WHEN event_id % 10 = 9 THEN 1 ELSE 0 END) AS order_id,
-               CASE event_type WHEN 'error' THEN 1 WHEN 'click' THEN 4 ELSE 5 END
-                   AS review_score
+               CASE WHEN (event_id - (CASE WHEN event_id % 10 = 9 THEN 1 ELSE 0 END)) % 7 = 3
+                        THEN 5
+                    WHEN event_type = 'error' THEN 1 WHEN event_type = 'click' THEN 4
+                    ELSE 5 END AS review_score
         FROM events""",
     "s_reviews": """
         SELECT review_id, kept.order_id AS order_id, kept.review_score AS review_score
@@ -132,10 +153,11 @@ CTES = {
         WHERE (fault = 0 OR order_id % 29 = fault) AND (n = 0 OR order_id % 101 = 0)""",
     "raw_products": """
         SELECT p_partkey AS product_id,
-               CASE WHEN p_partkey % 13 <> 0 THEN p_type END AS product_category_name,
+               CASE WHEN p_partkey % 13 <> 0 THEN category END AS product_category_name,
                cast(length(p_name) AS integer) AS product_name_lenght,
                cast(length(p_brand) AS integer) AS product_description_lenght
-        FROM part CROSS JOIN range(2) AS copies(n) WHERE n = 0 OR p_partkey % 10 = 0""",
+        FROM part_categories CROSS JOIN range(2) AS copies(n)
+        WHERE n = 0 OR p_partkey % 10 = 0""",
     "raw_customers": """
         SELECT c.* FROM s_customers c CROSS JOIN range(2) AS copies(n)
         WHERE n = 0 OR customer_id % 10 = 0""",
@@ -145,6 +167,37 @@ CTES = {
     "raw_reviews": """
         SELECT r.* FROM base_reviews r CROSS JOIN range(2) AS copies(n)
         WHERE n = 0 OR review_id % 107 = 0""",
+    # Keys with NULL, for the checks that must find them.
+    "f_orders": """
+        SELECT * REPLACE (CASE WHEN order_id % 1499 = 3 THEN NULL ELSE order_id END AS order_id)
+        FROM s_orders""",
+    "f_customers": """
+        SELECT * REPLACE (CASE WHEN customer_id % 601 = 7 THEN NULL ELSE customer_id END
+                              AS customer_id)
+        FROM s_customers""",
+    "f_products": """
+        SELECT * REPLACE (CASE WHEN product_id % 701 = 11 THEN NULL ELSE product_id END
+                              AS product_id)
+        FROM s_products""",
+    "f_items": """
+        SELECT * REPLACE (CASE WHEN order_id % 1511 = 5 THEN NULL ELSE order_id END AS order_id,
+                          CASE WHEN product_id % 797 = 3 THEN NULL ELSE order_item_id END
+                              AS order_item_id)
+        FROM s_items""",
+    "f_payments": "SELECT * FROM s_payments",
+    "f_reviews": "SELECT * FROM s_reviews",
+    "order_text": f"""
+        SELECT order_id,
+               CASE WHEN order_id % 41 < {len(TOKENS)} THEN ({TOKEN_LIST})[order_id % 41 + 1]
+                    WHEN order_id % 41 < {len(TOKENS) + len(ALIKE)}
+                        THEN ({ALIKE_LIST})[order_id % 41 - {len(TOKENS)} + 1]
+                    ELSE order_status END AS order_status,
+               CASE WHEN order_id % 67 < {len(TOKENS)} THEN ({TOKEN_LIST})[order_id % 67 + 1]
+                    WHEN order_id % 67 < {len(TOKENS) + len(ALIKE)}
+                        THEN ({ALIKE_LIST})[order_id % 67 - {len(TOKENS)} + 1]
+                    ELSE cast(order_approved_at AS varchar) END AS order_approved_at,
+               cast(order_delivered_customer_date AS varchar) AS order_delivered_customer_date
+        FROM base_orders""",
     # Marts.
     "sales": """
         SELECT o.order_id, o.customer_id, c.customer_unique_id, c.customer_city,
@@ -337,17 +390,17 @@ KEYS = {
     "reviews": ["review_id"],
 }
 ORPHANS = (
-    ("orders_without_customer", "s_orders", "s_customers", "customer_id"),
-    ("order_items_without_order", "s_items", "s_orders", "order_id"),
-    ("order_items_without_product", "s_items", "s_products", "product_id"),
-    ("payments_without_order", "s_payments", "s_orders", "order_id"),
+    ("orders_without_customer", "orders", "customers", "customer_id"),
+    ("order_items_without_order", "items", "orders", "order_id"),
+    ("order_items_without_product", "items", "products", "product_id"),
+    ("payments_without_order", "payments", "orders", "order_id"),
 )
 NULLS = (
-    ("null_order_id", "s_orders", "order_id"),
-    ("null_customer_id", "s_customers", "customer_id"),
-    ("null_product_id", "s_products", "product_id"),
-    ("null_order_items_order_id", "s_items", "order_id"),
-    ("null_order_item_id", "s_items", "order_item_id"),
+    ("null_order_id", "orders", "order_id"),
+    ("null_customer_id", "customers", "customer_id"),
+    ("null_product_id", "products", "product_id"),
+    ("null_order_items_order_id", "items", "order_id"),
+    ("null_order_item_id", "items", "order_item_id"),
 )
 
 
@@ -376,8 +429,8 @@ def _duplicates(table: str) -> str:
     )
 
 
-def _key_audit(table: str) -> str:
-    columns, cte = KEYS[table], STAGING_CTE[table]
+def _key_audit(table: str, checked: str) -> str:
+    columns, cte = KEYS[table], checked + STAGING_CTE[table].removeprefix("s_")
     missing = " OR ".join(f"{name} IS NULL" for name in columns)
     names = ", ".join(columns)
     return f"""
@@ -398,11 +451,20 @@ def _matrix() -> str:
     return f"SELECT cohort_month, cohort_size, {months} FROM retention GROUP BY ALL"
 
 
-def _bodies() -> dict[str, str]:
+def _bodies(checked: str = "f_") -> dict[str, str]:
+    """The queries; ``checked`` is the prefix of the tables whose keys are checked."""
+    nullified = ", ".join(
+        f"CASE WHEN {name} NOT IN ({str(list(TOKENS))[1:-1]}) THEN {name} END AS {name}"
+        for name in ("order_status", "order_approved_at", "order_delivered_customer_date")
+    )
     category = "product_category_name_english"
     return {
         **{f"profile_{table}": _profile(table) for table in RAW_COLUMNS},
         "duplicate_rows": _union([_duplicates(table) for table in RAW_COLUMNS]),
+        "profile_counted": _union(
+            [f"SELECT '{table}' AS table_name, * FROM ({_profile(table)})" for table in RAW_COLUMNS]
+        ),
+        "nullify_tokens": f"SELECT order_id, {nullified} FROM order_text",
         "dedup_rows": "SELECT DISTINCT * FROM raw_reviews",
         "clean_orders": "SELECT * FROM s_orders",
         "clean_order_items": """
@@ -430,19 +492,19 @@ def _bodies() -> dict[str, str]:
         ),
         "dq_null_keys": _union(
             [
-                f"SELECT '{name}' AS check_name, count(*) AS violations FROM {cte} "
+                f"SELECT '{name}' AS check_name, count(*) AS violations FROM {checked}{cte} "
                 f"WHERE {column} IS NULL"
                 for name, cte, column in NULLS
             ]
         ),
         "dq_orphans": _union(
             [
-                f"SELECT '{name}' AS check_name, count(*) AS violations FROM {child} x "
-                f"WHERE NOT EXISTS (SELECT 1 FROM {parent} y WHERE y.{column} = x.{column})"
+                f"SELECT '{name}' AS check_name, count(*) AS violations FROM {checked}{child} x "
+                f"WHERE NOT EXISTS (SELECT 1 FROM {checked}{parent} y WHERE y.{column} = x.{column})"
                 for name, child, parent, column in ORPHANS
             ]
         ),
-        "dq_key_audit": _union([_key_audit(table) for table in KEYS]),
+        "dq_key_audit": _union([_key_audit(table, checked) for table in KEYS]),
         "sales_order_items": "SELECT * FROM sales",
         "monthly_kpis": "SELECT * FROM monthly",
         "category_performance": "SELECT * FROM categories",
@@ -544,4 +606,4 @@ def oracle_queries() -> dict[str, str]:
 def staged_queries() -> dict[str, str]:
     """The same queries for a connection that already has the staging tables."""
     given = frozenset(STAGING_CTE.values())
-    return {name: _with_needed(body, given) for name, body in _bodies().items()}
+    return {name: _with_needed(body, given) for name, body in _bodies("s_").items()}

@@ -6,6 +6,8 @@ derive, rename. Every step is lazy; an action happens only where a caller writes
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +16,33 @@ from mercato.schemas import ORDER_TIMESTAMPS, PRODUCT_RENAMES, STAGING_TABLES, T
 
 UNKNOWN_CATEGORY = "unknown"
 
+Distinct = Callable[[DataFrame], DataFrame]
+
+
+# The column that counts a row's copies; no table may have one of that name.
+COPIES = "_copies"
+
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     """One copy of each distinct row; NULLs compare equal."""
     return df.dropDuplicates()
 
 
+def count_copies(df: DataFrame) -> DataFrame:
+    """One copy of each distinct row with the number of its copies, in one shuffle.
+
+    Written once, it serves the duplicate report, the profile and the cleaning, none of
+    which then shuffles whole rows again.
+    """
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def without_copies(counted: DataFrame) -> DataFrame:
+    """The distinct rows of ``count_copies``."""
+    return counted.drop(COPIES)
+
+
 def parse_order_timestamps(orders: DataFrame) -> DataFrame:
     """Cast the timestamp columns; under ANSI a malformed value fails the job."""
     return orders.withColumns(
@@ -45,8 +68,8 @@ def with_delivery_kpis(orders: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(orders: DataFrame) -> DataFrame:
-    return with_delivery_kpis(parse_order_timestamps(drop_duplicate_rows(orders)))
+def clean_orders(orders: DataFrame, distinct: Distinct = drop_duplicate_rows) -> DataFrame:
+    return with_delivery_kpis(parse_order_timestamps(distinct(orders)))
 
 
 def keep_valid_prices(items: DataFrame) -> DataFrame:
@@ -54,10 +77,10 @@ def keep_valid_prices(items: DataFrame) -> DataFrame:
     return items.filter((F.col("price") > 0) & (F.col("freight_value") >= 0))
 
 
-def clean_order_items(items: DataFrame) -> DataFrame:
+def clean_order_items(items: DataFrame, distinct: Distinct = drop_duplicate_rows) -> DataFrame:
     # The filter keeps or drops equal rows together, so it may run before the shuffle
     # that removes duplicates.
-    return drop_duplicate_rows(keep_valid_prices(items))
+    return distinct(keep_valid_prices(items))
 
 
 def fill_category(products: DataFrame) -> DataFrame:
@@ -76,19 +99,24 @@ def translate_category(products: DataFrame, translation: DataFrame) -> DataFrame
     return joined.select(*products.columns, "product_category_name_english")
 
 
-def clean_products(products: DataFrame, translation: DataFrame) -> DataFrame:
-    distinct = drop_duplicate_rows(products)
-    return translate_category(fill_category(distinct), translation).withColumnsRenamed(
+def clean_products(
+    products: DataFrame, translation: DataFrame, distinct: Distinct = drop_duplicate_rows
+) -> DataFrame:
+    return translate_category(fill_category(distinct(products)), translation).withColumnsRenamed(
         PRODUCT_RENAMES
     )
 
 
-def clean_all(raw: Tables) -> Tables:
-    """All six staging tables; reviews may still repeat a ``review_id``."""
+def clean_all(raw: Tables, distinct: Distinct = drop_duplicate_rows) -> Tables:
+    """All six staging tables; reviews may still repeat a ``review_id``.
+
+    Pass ``without_copies`` where the tables (but for the translation) went through
+    ``count_copies``.
+    """
     cleaned = {
-        "orders": clean_orders(raw["orders"]),
-        "order_items": clean_order_items(raw["order_items"]),
-        "products": clean_products(raw["products"], raw["category_translation"]),
-        **{name: drop_duplicate_rows(raw[name]) for name in ("customers", "payments", "reviews")},
+        "orders": clean_orders(raw["orders"], distinct),
+        "order_items": clean_order_items(raw["order_items"], distinct),
+        "products": clean_products(raw["products"], raw["category_translation"], distinct),
+        **{name: distinct(raw[name]) for name in ("customers", "payments", "reviews")},
     }
     return {name: cleaned[name] for name in STAGING_TABLES}

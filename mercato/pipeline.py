@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators import cleaning, profile, quality
 from mercato.plans import cohort, delivery, reports, sales
-from mercato.schemas import RAW_TABLES, STAGING_TABLES, Tables
+from mercato.schemas import STAGING_TABLES, Tables
 from mercato.sources import files
 
 # Results several marts build on, written once per run and read back by the marts.
@@ -93,21 +93,24 @@ def write_quality(tables: Tables, reviews_before: DataFrame, directory: str) ->
 def stage(spark: SparkSession, raw_dir: str, out_dir: str) -> Tables:
     """Clean the raw files into ``staging``; profile and check them into ``quality``.
 
-    The files are parsed once, into ``raw``; everything else reads that.
+    The files are parsed once and their rows grouped once, into ``distinct``: each row with
+    the number of its copies. Profile, duplicate report and cleaning all read that.
 
     Reviews are written as cleaned first, because the duplicate report needs them, and
     the staging table is then the de-duplicated rest.
     """
-    for name, table in files.read_raw_all(spark, raw_dir).items():
-        files.write_table(table, f"{out_dir}/raw/{name}")
-    raw = {name: spark.read.parquet(f"{out_dir}/raw/{name}") for name in RAW_TABLES}
-    profiled = {name: raw[name] for name in STAGING_TABLES}
-    files.write_table(profile.per_table(profiled, profile.profile), f"{out_dir}/quality/profile")
-    files.write_table(
-        profile.per_table(profiled, profile.duplicate_rows), f"{out_dir}/quality/duplicate_rows"
-    )
-
-    files.write_staging(cleaning.clean_all(raw), f"{out_dir}/cleaned")
+    raw = files.read_raw_all(spark, raw_dir)
+    for name in STAGING_TABLES:
+        files.write_table(cleaning.count_copies(raw[name]), f"{out_dir}/distinct/{name}")
+    counted = {name: spark.read.parquet(f"{out_dir}/distinct/{name}") for name in STAGING_TABLES}
+    for report, of in (
+        ("profile", profile.profile_counted),
+        ("duplicate_rows", profile.duplicates_counted),
+    ):
+        files.write_table(profile.per_table(counted, of), f"{out_dir}/quality/{report}")
+
+    cleaned = cleaning.clean_all({**raw, **counted}, cleaning.without_copies)
+    files.write_staging(cleaned, f"{out_dir}/cleaned")
     tables = files.read_staging(spark, f"{out_dir}/cleaned")
     reviews_before = tables["reviews"]
     files.write_table(
@@ -123,12 +126,53 @@ def shared_dir(spark: SparkSession, out_dir: str) -> str:
     checkpoints = spark.conf.get("spark.checkpoint.dir", None)
     if checkpoints:
         return f"{checkpoints.rstrip('/')}/mercato-{uuid.uuid4()}"
-    return f"{out_dir}/shared"
+    return f"{out_dir}/_shared-{uuid.uuid4()}"
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def _path(spark: SparkSession, path: str):
+    """A path and the file system it is in."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop, system = _path(spark, path)
+    system.delete(hadoop, True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    path, system = _path(spark, source)
+    to, _ = _path(spark, target)
+    system.mkdirs(to.getParent())
+    if not system.rename(path, to):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def publish(spark: SparkSession, draft: str, out_dir: str, names: list[str]) -> None:
+    """Put the datasets ``names`` of ``draft`` in the place of those of ``out_dir``.
+
+    Old ones step aside first. If a move fails, all that were there before come back.
+    Moves rename; in a store that copies instead, a reader may find a dataset incomplete
+    while it is moved.
+    """
+    aside = f"{out_dir}/_old-{uuid.uuid4()}"
+    stepped, placed = [], []
+    try:
+        for name in names:
+            path, system = _path(spark, f"{out_dir}/{name}")
+            if system.exists(path):
+                _move(spark, f"{out_dir}/{name}", f"{aside}/{name}")
+                stepped.append(name)
+            _move(spark, f"{draft}/{name}", f"{out_dir}/{name}")
+            placed.append(name)
+    except BaseException:
+        for name in placed:
+            _remove(spark, f"{out_dir}/{name}")
+        for name in stepped:
+            _move(spark, f"{aside}/{name}", f"{out_dir}/{name}")
+        raise
+    finally:
+        _remove(spark, aside)
 
 
 def write_marts(
@@ -137,21 +181,26 @@ def write_marts(
     """Write one dataset per mart under ``<out_dir>/<page>/<mart>``.
 
     Results used by several marts are written once to the shared folder and read back,
-    so no join runs twice and a lost executor costs at most the step at hand.
+    so no join runs twice and a lost executor costs at most the step at hand. All marts are
+    written beside the old ones and take their places at the end: a run that fails leaves
+    the marts of the run before. Both working folders go in any case.
     """
     pages = list(pages)
     tables = dict(tables)
-    keep = shared_dir(spark, out_dir)
-    for name, build in SHARED.items():
-        if any(name in PAGE_SHARED[page] for page in pages):
-            files.write_table(build(tables), f"{keep}/{name}")
-            tables[name] = spark.read.parquet(f"{keep}/{name}")
-    for page in pages:
-        for name, build in PAGES[page].items():
-            ready = tables[name] if name in tables else build(tables)
-            files.write_table(ready, f"{out_dir}/{page}/{name}")
-    if not keep.startswith(out_dir):
+    keep, draft = shared_dir(spark, out_dir), f"{out_dir}/_draft-{uuid.uuid4()}"
+    try:
+        for name, build in SHARED.items():
+            if any(name in PAGE_SHARED[page] for page in pages):
+                files.write_table(build(tables), f"{keep}/{name}")
+                tables[name] = spark.read.parquet(f"{keep}/{name}")
+        for page in pages:
+            for name, build in PAGES[page].items():
+                ready = tables[name] if name in tables else build(tables)
+                files.write_table(ready, f"{draft}/{page}/{name}")
+        publish(spark, draft, out_dir, [f"{page}/{name}" for page in pages for name in PAGES[page]])
+    finally:
         _remove(spark, keep)
+        _remove(spark, draft)
 
 
 def run(

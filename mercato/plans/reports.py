@@ -125,17 +125,25 @@ def seller_segment_summary(tables: Tables) -> DataFrame:
 def delivery_performance_first(tables: Tables, limit: int = 20) -> DataFrame:
     """The first delivery rows by order.
 
-    Every delivered order yields a row, so the first ``limit`` orders are enough: they
-    are picked before any join, and reviews and customers are reduced to their keys
-    without a shuffle. The limit bounds what is broadcast.
+    Every delivered order yields a row, so the first ``limit`` orders are enough. They are
+    found once, as the one row of a scalar subquery; its keys reduce customers and reviews
+    while these are scanned, and its rows are what is joined. So each table is read once and
+    none is shuffled; the limit bounds the subquery.
     """
     first = sales.delivered(tables["orders"]).orderBy("order_id").limit(limit)
+    found = first.agg(
+        F.struct(
+            F.collect_list("customer_id").alias("customer_id"),
+            F.collect_list("order_id").alias("order_id"),
+            F.collect_list(F.struct("*")).alias("orders"),
+        )
+    ).scalar()
 
     def only_of_first(name: str, key: str) -> DataFrame:
-        return tables[name].join(F.broadcast(first.select(key)), key, "left_semi")
+        return tables[name].filter(F.array_contains(found[key], F.col(key)))
 
     reduced = {
-        "orders": first,
+        "orders": first.sparkSession.range(1).select(F.inline(found["orders"])),
         "customers": only_of_first("customers", "customer_id"),
         "reviews": only_of_first("reviews", "order_id"),
     }

@@ -10,7 +10,7 @@ from mercato.operators import cleaning, profile, quality
 from mercato.plans import cohort, delivery, reports, sales
 from mercato.schemas import STAGING_TABLES, Tables
 from mercato.session import configure
-from mercato.sources import star
+from mercato.sources import files, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,9 @@ ON_RAW: dict[str, Callable[[Tables], DataFrame]] = {
     "duplicate_rows": lambda t: profile.per_table(
         {name: t[name] for name in STAGING_TABLES}, profile.duplicate_rows
     ),
+    "profile_counted": lambda t: profile.per_table(
+        {name: cleaning.count_copies(t[name]) for name in STAGING_TABLES}, profile.profile_counted
+    ),
     "dedup_rows": lambda t: cleaning.drop_duplicate_rows(t["reviews"]),
     "clean_orders": lambda t: cleaning.clean_orders(t["orders"]),
     "clean_order_items": lambda t: cleaning.clean_order_items(t["order_items"]),
@@ -58,6 +61,14 @@ ON_REPEATED_REVIEWS: dict[str, Callable[[Tables], DataFrame]] = {
     "dedup_reviews": lambda t: quality.dedup_reviews(t["reviews"]),
 }
 
+# Operators on text columns as the files hold them.
+ON_TEXT: dict[str, Callable[[Tables], DataFrame]] = {
+    "nullify_tokens": lambda t: files.nullify_tokens(t["order_text"]),
+}
+
+# Checks of keys, which run on tables that break them.
+KEY_CHECKS = ("dq_null_keys", "dq_orphans", "dq_key_audit")
+
 ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_row_counts": quality.row_counts,
     "dq_null_keys": quality.null_keys,
@@ -99,7 +110,13 @@ ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
 
 def all_queries() -> dict[str, Query]:
     repeated = {**star.STAGING, "reviews": star.reviews}
-    groups = ((star.RAW, ON_RAW), (repeated, ON_REPEATED_REVIEWS), (star.STAGING, ON_STAGING))
+    groups = (
+        (star.RAW, ON_RAW),
+        ({"order_text": star.order_text}, ON_TEXT),
+        (repeated, ON_REPEATED_REVIEWS),
+        (star.STAGING, ON_STAGING),
+        (star.FAULTY, {name: ON_STAGING[name] for name in KEY_CHECKS}),
+    )
     return {
         name: _over(builders, build)
         for builders, builds in groups

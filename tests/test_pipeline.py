@@ -57,14 +57,87 @@ def test_quality_reports_are_written(spark, run):
 
 def test_one_page_writes_only_what_it_needs(spark, run, tmp_path, monkeypatch):
     tables, _ = run
-    monkeypatch.setattr(pipeline, "shared_dir", lambda spark, out_dir: f"{out_dir}/shared")
+    written, write = [], files.write_table
+    monkeypatch.setattr(pipeline, "shared_dir", lambda spark, out_dir: f"{out_dir}/_shared")
+    monkeypatch.setattr(files, "write_table", lambda df, path: (written.append(path), write(df, path)))
     pipeline.write_marts(spark, tables, str(tmp_path), ["cohort"])
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["cohort", "shared"]
-    assert sorted(p.name for p in (tmp_path / "shared").iterdir()) == [
-        "cohort_counts", "customer_orders",
+    assert [p.name for p in tmp_path.iterdir()] == ["cohort"]
+    assert sorted(p for p in written if "_shared" in p) == [
+        f"{tmp_path}/_shared/cohort_counts", f"{tmp_path}/_shared/customer_orders",
     ]
 
 
+class _Broken(Exception):
+    pass
+
+
+def _fail(*_):
+    raise _Broken
+
+
+def _marts(spark, out):
+    """The rows of every dataset under ``out`` and the names beside the pages."""
+    found = {
+        f"{page}/{name}": rows(spark.read.parquet(str(out / page / name)))
+        for page, marts in pipeline.PAGES.items()
+        for name in marts
+        if (out / page / name).exists()
+    }
+    return found, sorted(p.name for p in out.iterdir())
+
+
+def test_a_failed_mart_leaves_all_old_ones(spark, run, tmp_path, monkeypatch):
+    tables, _ = run
+    pipeline.write_marts(spark, tables, str(tmp_path))
+    before = _marts(spark, tmp_path)
+    fewer = {**tables, "orders": tables["orders"].filter("order_id <> 'o1'")}
+    with monkeypatch.context() as broken:
+        broken.setitem(pipeline.PAGES["seller"], "seller_segment_summary", _fail)
+        with pytest.raises(_Broken):
+            pipeline.write_marts(spark, fewer, str(tmp_path))
+    assert _marts(spark, tmp_path) == before
+    pipeline.write_marts(spark, fewer, str(tmp_path))
+    after, names = _marts(spark, tmp_path)
+    assert names == before[1] and after.keys() == before[0].keys()
+    assert after["executive/monthly_kpis"] != before[0]["executive/monthly_kpis"]
+
+
+def test_a_failed_move_brings_the_old_marts_back(spark, run, tmp_path, monkeypatch):
+    tables, _ = run
+    pipeline.write_marts(spark, tables, str(tmp_path), ["cohort", "seller"])
+    before = _marts(spark, tmp_path)
+    fewer = {**tables, "orders": tables["orders"].filter("order_id <> 'o1'")}
+    move = pipeline._move
+
+    def moves_but_one(spark, source, target):
+        if "_draft" in source and source.endswith("seller_risk_segments"):
+            raise _Broken
+        move(spark, source, target)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline, "_move", moves_but_one)
+        with pytest.raises(_Broken):
+            pipeline.write_marts(spark, fewer, str(tmp_path), ["cohort", "seller", "executive"])
+    assert _marts(spark, tmp_path) == before
+
+
+@pytest.mark.parametrize("beside", ["cp", "out-cp", "out/cp"])
+def test_working_folders_go_also_after_a_failure(spark, run, tmp_path, monkeypatch, beside):
+    tables, _ = run
+    out, checkpoints = tmp_path / "out", tmp_path / beside
+    monkeypatch.setattr(
+        pipeline, "shared_dir", lambda spark, out_dir: f"{checkpoints}/mercato-1"
+    )
+    with monkeypatch.context() as broken:
+        broken.setitem(pipeline.PAGES["seller"], "seller_segment_summary", _fail)
+        with pytest.raises(_Broken):
+            pipeline.write_marts(spark, tables, str(out), ["seller"])
+    assert not (checkpoints / "mercato-1").exists()
+    pipeline.write_marts(spark, tables, str(out), ["seller"])
+    assert not (checkpoints / "mercato-1").exists()
+    assert sorted(p.name for p in (out / "seller").iterdir()) == sorted(pipeline.PAGES["seller"])
+
+
 class _Session:
     def __init__(self, **settings):
         self.conf = self
@@ -77,7 +150,7 @@ class _Session:
 def test_shared_results_go_to_the_checkpoint_folder():
     named = _Session(**{"spark.checkpoint.dir": "hdfs://x/checkpoints/"})
     assert pipeline.shared_dir(named, "out").startswith("hdfs://x/checkpoints/mercato-")
-    assert pipeline.shared_dir(_Session(), "out") == "out/shared"
+    assert pipeline.shared_dir(_Session(), "out").startswith("out/_shared-")
 
 
 def test_broken_key_stops_the_run(spark, run, tmp_path):

@@ -1,11 +1,18 @@
 """What the physical plans must and must not contain."""
 
+import os
+import re
+from pathlib import Path
+
 import pytest
 
+from mercato.operators import cleaning, profile
 from mercato.plans import cohort, delivery, reports, sales
-from mercato.queries import ON_STAGING
+from mercato.queries import ON_STAGING, all_queries
 from mercato.sources import files
-from tests import staged
+from tests import micro, staged
+
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 # As at scale: no table is small enough to broadcast.
 NO_BROADCAST = {"spark__sql__autoBroadcastJoinThreshold": "-1"}
@@ -16,6 +23,18 @@ def tables(spark, tmp_path_factory):
     return staged.read(spark, staged.write(spark, tmp_path_factory.mktemp("staged")))
 
 
+def without_initial_plans(text: str) -> str:
+    """The plans that ran: an executed plan without those before adaptive changes."""
+    kept, above = [], None
+    for line in text.splitlines():
+        depth = len(line) - len(line.lstrip(" :|"))
+        if above is not None and depth > above:
+            continue
+        above = depth if "== Initial Plan ==" in line else None
+        kept.append(line)
+    return "\n".join(kept)
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -69,8 +88,54 @@ def test_top_reports_do_not_sort_everything(tables):
         assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
-def test_first_deliveries_shuffle_no_table(tables):
-    assert "Exchange hashpartitioning" not in plan(reports.delivery_performance_first(tables))
+def test_first_deliveries_read_each_table_once_and_shuffle_none(tables, conf):
+    """Also with joins that can't broadcast: what they shuffle has passed the reduced scans."""
+    conf(**NO_BROADCAST)
+    df = reports.delivery_performance_first(tables)
+    df.collect()
+    ran = without_initial_plans(plan(df))
+    # A subquery's other uses, also as a filter of the scan, show only its number.
+    scans = re.findall(r"FileScan parquet .*?Location: InMemoryFileIndex\(1 paths\)\[\S*/(\w+)\]", ran)
+    assert sorted(scans) == ["customers", "orders", "reviews"]
+
+
+@pytest.mark.skipif(not Path(DATA).exists(), reason="no test data")
+@pytest.mark.parametrize("name", all_queries())
+def test_status_filter_reaches_the_scan_of_the_source(spark, name):
+    """The source holds a code and the state is derived; filters must test the code itself."""
+    text = plan(all_queries()[name](spark, DATA))
+    filters = [line for line in text.splitlines() if "Filter " in line and "orderstatus" in line]
+    assert not any("delivered" in line for line in filters)
+    pushed = text.count("EqualNullSafe(o_orderstatus,F)")
+    assert pushed == sum("(o_orderstatus" in line and "<=> F)" in line for line in filters)
+
+
+def test_status_filters_exist_to_be_pushed(spark):
+    found = [
+        name for name in ON_STAGING
+        if "EqualNullSafe(o_orderstatus,F)" in plan(all_queries()[name](spark, DATA))
+    ]
+    assert {"monthly_kpis", "delivery_performance", "customer_orders", "seller_performance"} <= set(found)
+    assert len(found) >= 20
+
+
+def test_cleaning_shares_one_grouping_of_whole_rows(spark, tmp_path):
+    """Counting copies shuffles once; profile, duplicates and cleaning then shuffle no rows."""
+    raw = files.read_raw_all(spark, micro.write_raw(tmp_path / "csv"))
+    translation = raw.pop("category_translation")
+    for name, table in raw.items():
+        counted = cleaning.count_copies(table)
+        assert plan(counted).count("Exchange hashpartitioning") == 1
+        counted.write.parquet(str(tmp_path / name))
+    tables = {name: spark.read.parquet(str(tmp_path / name)) for name in raw}
+    for table in tables.values():
+        assert "hashpartitioning" not in plan(profile.profile_counted(table))
+        assert "hashpartitioning" not in plan(profile.duplicates_counted(table))
+    cleaned = cleaning.clean_all(
+        {**tables, "category_translation": translation}, cleaning.without_copies
+    )
+    for name, table in cleaned.items():
+        assert "hashpartitioning" not in plan(table), name
 
 
 def test_review_dedup_limits_before_the_shuffle(tables):
