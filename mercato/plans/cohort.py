@@ -54,7 +54,8 @@ def customer_cohorts(tables: Tables) -> DataFrame:
     """Every order with its customer's first purchase month and the months since.
 
     First months are combined per task before their shuffle, and the join splits a
-    customer with very many orders.
+    customer with very many orders. Forms that shuffle the orders once were slower or left
+    such a customer to one task (README, Measured).
     """
     orders = person_orders(tables)
     first = orders.groupBy(PERSON).agg(F.min("purchase_month").alias("cohort_month"))
