@@ -176,6 +176,28 @@ def test_suffix_levels_stay_logarithmic():
     assert told == {o for found in seen.values() if len(found) > 1 for o in found}
 
 
+def targets(sizes, weights, most):
+    """Shares by hand: cap what is above, reshare, until none is above."""
+    weight = [weights[i % len(weights)] for i in range(len(sizes))]
+    free, out = set(range(len(sizes))), [0.0] * len(sizes)
+    while free:
+        left = sum(sizes) - sum(most * s for i, s in enumerate(sizes) if i not in free)
+        unit = sum(weight[i] for i in free)
+        over = {i for i in free if left * weight[i] > most * sizes[i] * unit}
+        for i in over or free:
+            out[i] = float(most * sizes[i]) if over else left * weight[i] / unit
+        if not over:
+            break
+        free -= over
+    return out
+
+
+def targets_by_spark(llm, sizes, weights, most):
+    table = llm.createDataFrame(list(enumerate(sizes)), "number long, source_size long")
+    rows = mixing.with_targets(table, weights, most).orderBy("number").collect()
+    return [r.target for r in rows]
+
+
 def test_mixing(documents):
     table = [(i, prose(5 + i % 40, i), ["a", "b", "c", None][i % 4]) for i in range(400)]
     table += [(1000, None, "a"), (1001, "", "d"), (1002, "w", "d"), (1002, "w", "d")]
@@ -191,7 +213,7 @@ def test_mixing(documents):
         by_source.setdefault(r.source, []).append((r.size * len(r.draws), r.target, r.source_size))
     names = sorted(by_source, key=lambda s: (s is None, s))
     sizes = [by_source[s][0][2] for s in names]
-    for name, target in zip(names, mixing.targets(sizes, (1, 2, 3), 3)):
+    for name, target in zip(names, targets(sizes, (1, 2, 3), 3)):
         found = sum(x[0] for x in by_source[name])
         assert by_source[name][0][1] == target and abs(found - target) <= 15
     copies = mixing.mixed(documents(*table), block_docs=16, shards=5)
@@ -199,10 +221,65 @@ def test_mixing(documents):
     assert copies.count() == sum(len(r.draws) for r in got)
 
 
-def test_targets_reshare_the_excess():
-    assert mixing.targets([100, 100, 100], (1, 2, 3), 3) == [50.0, 100.0, 150.0]
-    assert mixing.targets([300, 10, 20], (1, 2, 3), 3) == [240.0, 30.0, 60.0]
-    assert mixing.targets([0, 0], (1, 2), 3) == [0.0, 0.0]
+@pytest.mark.parametrize("of", [targets, targets_by_spark])
+def test_targets_reshare_the_excess(llm, of):
+    of = of if of is targets else lambda *a: targets_by_spark(llm, *a)
+    assert of([100, 100, 100], (1, 2, 3), 3) == [50.0, 100.0, 150.0]
+    assert of([300, 10, 20], (1, 2, 3), 3) == [240.0, 30.0, 60.0]
+    assert of([0, 0], (1, 2), 3) == [0.0, 0.0]
+    assert of([], (1, 2), 3) == []
+
+
+def test_targets_of_many_sources(llm):
+    import random
+
+    draw = random.Random(2)
+    for most in (1, 2, 3):
+        sizes = [int(10 ** draw.uniform(0, 5)) for _ in range(60)]
+        assert targets_by_spark(llm, sizes, (1, 2, 3, 5), most) == targets(sizes, (1, 2, 3, 5), most)
+
+
+def test_sources_in_groups_are_split_exactly(llm, documents, monkeypatch):
+    """More sources than one walk through the tree takes, numbered by code point."""
+    monkeypatch.setattr(mixing, "GROUP", 7)
+    monkeypatch.setattr(mixing, "CHUNK", 2)
+    names = [f"s{i}" for i in range(40)] + ["Z", "é", "\U0001f600", "\uffee", "", None]
+    table = [(i, prose(3 + i % 30, i), names[i % len(names)]) for i in range(1400)]
+    got = mixing.draws(documents(*table), block_docs=4, shards=6).collect()
+    order = sorted(names, key=lambda s: (s is None, (s or "").encode()))
+    sizes = {s: sum(len(t.split()) for _, t, of in table if of == s) for s in names}
+    expected = dict(zip(order, targets([sizes[s] for s in order], (1, 2, 3), 3)))
+    taken = dict.fromkeys(names, 0)
+    by_shard = [0] * 6
+    for r in got:
+        assert (r.target, r.source_size) == (expected[r.source], sizes[r.source])
+        taken[r.source] += r.size * len(r.draws)
+        for d in r.draws:
+            by_shard[d.shard] += 1
+    assert all(abs(taken[s] - expected[s]) <= 33 for s in names)
+    assert max(by_shard) < 1.6 * min(by_shard)
+
+
+def test_a_document_that_is_most_of_its_source(llm, documents):
+    """Rows that repeat fill the target as far as they fit, some once more than others."""
+    table = [(1, "one two three", "a")] * 300 + [(2, "w " * 400, "b"), (3, "v " * 10, "b")]
+    got = mixing.draws(documents(*table), block_docs=8, shards=3).collect()
+    a = [len(r.draws) for r in got if r.source == "a"]
+    target = next(r.target for r in got if r.source == "a")
+    assert len(a) == 300 and abs(3 * sum(a) - target) < 3 and max(a) - min(a) == 1
+    copies = mixing.mixed(documents(*table), block_docs=8, shards=3)
+    assert copies.filter("doc_id = 1").count() == sum(a)
+
+
+def test_mixed_carries_columns_of_any_name(llm, documents):
+    extra = "key long, doc long, draws long, fits long, n long, id long, rank long, shard long, draw long"
+    rows = [(i, prose(9, i), "en", f"s{i % 2}", 0, *range(i, i + 9)) for i in range(60)]
+    docs = llm.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {extra}")
+    got = mixing.mixed(docs, block_docs=8, shards=3).collect()
+    assert {tuple(r) for r in got} <= set(rows) and len(got) > 30
+    shards = mixing.mixed(docs, block_docs=8, shards=3, shard="of_shard")
+    assert shards.columns == [*docs.columns, "of_shard"]
+    assert {r.of_shard for r in shards.collect()} == {0, 1, 2}
 
 
 def test_split_draws_are_disjoint_and_whole():
