@@ -67,7 +67,7 @@ def blocks(
 
         def close(bits: int) -> pa.RecordBatch:
             ids, vecs = waiting.pop(bits)
-            matrix = np.array(vecs, np.float64)
+            matrix = balanced(np.array(vecs, np.float64))
             sorted_, places = b"", b""
             if index:
                 unit = matrix / norms(matrix)[:, None]
@@ -101,10 +101,18 @@ def blocks(
     )
 
 
+def balanced(matrix: np.ndarray) -> np.ndarray:
+    """The vectors times powers of two that bring their largest components to 0.5 to 1.
+
+    Cosines stay the same to the last bit where products would neither overflow nor vanish,
+    and are right where they would.
+    """
+    return np.ldexp(matrix, -np.frexp(np.abs(matrix).max(axis=1))[1][:, None])
+
+
 def norms(matrix: np.ndarray) -> np.ndarray:
-    """Lengths; scaled first, so that neither tiny nor huge components are lost."""
-    top = np.abs(matrix).max(axis=1)
-    return top * np.sqrt(np.square(matrix / top[:, None]).sum(axis=1))
+    """Lengths of balanced vectors."""
+    return np.sqrt(np.square(matrix).sum(axis=1))
 
 
 def search_block(
