@@ -460,34 +460,39 @@ def without_repeats(docs: DataFrame, *, length: int = 400, words: int | None = N
 
     Stretches are those of ``length`` bytes and, where ``words`` is given, those of so many
     words, both looked for in the whole texts. A character cut in two goes with the stretch.
-    Rows stay, also those left without text.
+    Rows stay, also those left without text or with a null one, and an empty table gives none.
+    Rows that repeat are copies and lose what they share. Other columns keep their values,
+    whatever their names.
     """
-    of_class = repeated_spans(docs, length=length)[1].withColumnRenamed("spans", "_spans")
+    of_class = repeated_spans(docs, length=length)[1]
     if words is None:
-        of_class = of_class.withColumn("_words", F.lit(None).cast(of_class.schema["_spans"].dataType))
+        of_class = of_class.withColumn("in_words", F.lit(None).cast(of_class.schema["spans"].dataType))
     else:
         in_words = repeated_spans(docs, length=words, words=True)[1]
-        of_class = of_class.join(in_words.withColumnRenamed("spans", "_words"), "cls", "full")
-    names = docs.columns
+        of_class = of_class.join(in_words.withColumnRenamed("spans", "in_words"), "cls", "full")
 
-    @F.udf("string")
+    @F.udf("string", useArrow=True)
     def cut(text, spans, in_words):
-        if text is None or (spans is None and in_words is None):
-            return text
+        if text is None:
+            return None
         data = text.encode()
-        found = [s.asDict() for s in spans or ()]
+        found = [{"low": s["low"], "high": s["high"]} for s in spans or ()]
         if in_words:
             _, starts, ends = split_words(np.frombuffer(data, np.uint8))
             found += [{"low": starts[s["low"]], "high": ends[s["high"] - 1]} for s in in_words]
         return _kept(data, found)[0].decode(errors="ignore")
 
-    keyed = docs.withColumn("_cls", content_class_of(text_of()))
-    out = keyed.join(of_class.withColumnRenamed("cls", "_cls"), "_cls", "left")
-    out = out.withColumn("text", cut(F.col("text"), F.col("_spans"), F.col("_words")))
-    if "n_chars" in names:
-        same = F.col("_spans").isNull() & F.col("_words").isNull()
-        out = out.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("text")))
-    return out.select(*[F.col(f"`{c}`") for c in names])
+    # The row travels as one value, so its columns may have any names.
+    keyed = docs.select(F.struct("*").alias("doc"), content_class_of(text_of()).alias("cls"))
+    joined = keyed.join(of_class, "cls", "left")
+    changed = F.col("doc.text").isNotNull() & (F.col("spans").isNotNull() | F.col("in_words").isNotNull())
+    # Only texts with something to cut go to Python.
+    joined = joined.withColumn("cut", cut(F.when(changed, F.col("doc.text")), "spans", "in_words"))
+    new = {"text": F.when(changed, F.col("cut")).otherwise(F.col("doc.text"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(changed, F.length("cut").cast(kind)).otherwise(F.col("doc.n_chars"))
+    return joined.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def content_class_of(text: Column) -> Column:

@@ -33,6 +33,79 @@ def test_stages(llm, documents, tmp_path):
     assert {r.doc_id for r in rows["best_fit_packing"]} <= ids["suffix_array_dedup"]
 
 
+# Every name that a stage or what it calls gives to a column of its own.
+OWN_NAMES = (
+    "all_units anchor at base before bin block bucket bytes cap chunk cls component_id copies copy count cut "
+    "doc draw draws earlier entry epoch epochs fits first grp hash high id ids in_words key kept label length low "
+    "low_id marks more n n_shingles number of of_key offset other owner part piece rank rest row room score "
+    "sequence_id severity sha256 shard shingles size source_size spans start target token tokens total weight "
+    "whole words _cls _doc_cls _id _n _spans _words _key _same _draw _row_key _row_same"
+).split()
+
+
+def test_stages_carry_columns_of_any_name(llm, tmp_path):
+    """Their values stay with their rows; texts that repeat, are null, empty or very long as well."""
+    texts = [(i, prose(60, i), "a") for i in range(30)]
+    texts += [(40, prose(80, 40), "b"), (40, prose(80, 40), "b"), (41, prose(80, 40) + " x", "b")]
+    texts += [(50, None, "a"), (51, "", None), (None, prose(50, 51), "c"), (60, prose(30_000, 60), "c")]
+    texts += [(70 + i, prose(50, 70 + i) + " " + prose(55, 99), "d") for i in range(3)]
+    rows = [
+        (*text[:2], "en", text[2], 0, *[f"{n}/{text[0]}" for n in OWN_NAMES]) for text in texts
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, "
+    docs = llm.createDataFrame(rows, schema + ", ".join(f"`{n}` string" for n in OWN_NAMES))
+    llm.createDataFrame([(i, 1, i % 2) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet")
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(llm, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        out.write.parquet(str(tmp_path / name))
+        docs = llm.read.parquet(str(tmp_path / name))
+        got = docs.collect()
+        assert got, name
+        assert all(r[n] == f"{n}/{r.doc_id}" for r in got for n in OWN_NAMES), name
+        if name == "ngram_jaccard_join":
+            ids = [r.doc_id for r in got]
+            assert ids.count(40) == 1 and 41 not in ids and {50, 51, 60, None} <= set(ids)
+    packed = corpus_pipeline.pack_sequences(llm, docs, str(tmp_path))
+    places = [(r.doc_id, r.copy, r.piece, r.start) for r in packed.collect()]
+    assert len(set(places)) == len(places) and {p[1] for p in places} and len({p[1] for p in places}) == len(got)
+
+
+def test_a_sequence_can_be_built(llm, documents):
+    """Ids of the last stage laid out by sequence and offset leave no gap and give back the texts."""
+    from tokenizers import Tokenizer
+
+    from mercato.llm.shared import tokenizer_path
+
+    encode = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")).encode
+    table = [(i, prose(20 + i, i)) for i in range(40)] + [(5, prose(25, 5))] * 2 + [(90, prose(9000, 9))]
+    rows = corpus_pipeline.pack_sequences(llm, documents(*table), "").collect()
+    sequences, copies = {}, {}
+    for r in rows:
+        ids = [int.from_bytes(r.ids[i : i + 4], "little") for i in range(0, len(r.ids), 4)]
+        assert len(ids) == r.length
+        sequences.setdefault(r.sequence_id, []).append((r.offset, ids))
+        copies.setdefault((r.doc_id, r.copy), []).append((r.start, ids))
+    for parts in sequences.values():
+        parts.sort()
+        assert [at for at, _ in parts] == [sum(len(x) for _, x in parts[:k]) for k in range(len(parts))]
+        assert sum(len(x) for _, x in parts) <= 4096
+    built = sorted((doc_id, sum((x for _, x in sorted(p)), [])) for (doc_id, _), p in copies.items())
+    assert built == sorted((i, [*encode(t, add_special_tokens=False).ids, 1]) for i, t in table)
+
+
+def test_empty_tables_go_through_all_stages(llm, documents, tmp_path):
+    llm.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = documents((1, "a")).filter("false")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(llm, docs, str(tmp_path))
+        docs.write.parquet(str(tmp_path / name))
+        docs = llm.read.schema(docs.schema).parquet(str(tmp_path / name))
+        assert docs.count() == 0
+
+
 def test_passages_of_51_words_leave_the_texts(llm, documents):
     """Also where they have fewer than 400 bytes, and whatever white space is in them."""
     words = [f"w{i}" for i in range(51)]
