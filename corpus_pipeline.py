@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import mixing, ngram_join, packing, suffix_dedup, toxicity
@@ -24,36 +24,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: of each component of similar documents the one with the least id stays.
 
-    Of equal ids with equal shingles one row stays. Documents without words link with
-    nothing, and all stay; so do null ids where a component has no other.
+    Of equal ids with equal shingles one row stays, the one with the least text. Documents
+    without words link with nothing, and all stay; so do null ids where a component has no
+    other. Columns of any name come along; an empty table stays empty.
     """
     ship(spark)
-    of_class = ngram_join.joined(docs).select(
-        "doc_id", F.col("cls").alias("_cls"), "n_shingles", "component_id"
-    )
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", "_cls")
+    of_class = ngram_join.joined(docs).select("doc_id", "cls", "n_shingles", "component_id")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "cls")
     linked = of_class.filter("n_shingles > 0")
     kept = (
-        linked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("_cls")))
+        linked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("cls")))
         .agg(F.min(first).alias("first"))
-        .select(F.col("first.doc_id").alias("_id"), F.col("first._cls").alias("_cls"))
+        .select(F.xxhash64("first.doc_id", "first.cls").alias("key"))
     )
-    names = docs.columns
-    keyed = docs.withColumn("_doc_cls", ngram_join.class_of(text_of()))
-    wordless = F.col("_doc_cls") == F.lit(ngram_join.EMPTY_CLASS)
-    one = Window.partitionBy("doc_id", "_doc_cls").orderBy("text")
+    # The row travels as one value, so its columns may have any names. Texts are shuffled
+    # once, by a hash of id and class, and are in its order for the choice of one.
+    keyed = docs.select(F.struct("*").alias("doc"), ngram_join.class_of(text_of()).alias("cls"))
+    wordless = F.col("cls") == F.lit(ngram_join.EMPTY_CLASS)
     stay = (
         keyed.filter(~wordless)
-        .join(
-            kept,
-            F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_doc_cls") == F.col("_cls")),
-            "left_semi",
-        )
-        .withColumn("_n", F.row_number().over(one))
-        .filter("_n = 1")
+        .select("doc", F.xxhash64(F.col("doc.doc_id").cast("long"), "cls").alias("key"))
+        .join(kept, "key", "left_semi")
+        .groupBy("key")
+        .agg(F.min_by("doc", F.col("doc.text")).alias("doc"))
     )
-    columns = [F.col(f"`{c}`") for c in names]
-    return stay.select(*columns).unionByName(keyed.filter(wordless).select(*columns))
+    rows = stay.select("doc").unionByName(keyed.filter(wordless).select("doc"))
+    return rows.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,15 +59,22 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: sources to their target weights; a row for each copy that the mix takes."""
+    """Operator 3: sources to their target weights; a row for each copy that the mix takes.
+
+    Rows are ordered by the shard they are drawn for, and by hash within it.
+    """
     ship(spark)
     return mixing.mixed(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: pieces of at most 4096 tokens, each with its place in a sequence."""
+    """Operator 2: pieces of at most 4096 tokens, each with its ids and place in a sequence.
+
+    ``ids`` are the tokens, little-endian unsigned 32-bit numbers. ``copy`` numbers the rows
+    of the stage's input, so that the copies which the mix made of a document differ.
+    """
     ship(spark)
-    return packing.pack_documents(docs).drop("row")
+    return packing.pack_documents(docs, with_ids=True).withColumnRenamed("row", "copy")
 
 
 STAGES = [
