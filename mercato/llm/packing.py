@@ -12,70 +12,77 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections.abc import Iterator
-from string import punctuation
+from collections.abc import Callable, Iterator
+from string import ascii_letters, punctuation
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.shingles import break_mask, words_of
+from mercato.llm.shingles import break_mask, runs_of
 from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of, tokenizer_path
 
 BREAKS = break_mask(b" \n")
 TOGETHER = 1 << 20  # bytes of texts whose words are looked up together
+LONGEST = 64  # bytes of a part that is kept
+
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_PUNCTUATION = break_mask(punctuation.encode())
+_ODD = ~break_mask(ascii_letters.encode() + bytes([0xC3, *range(0x80, 0xC0)]))
+_SIGNS = break_mask(bytes([0x97, 0xB7]))  # the multiplication and the division sign, after 0xC3
 
 PIECES = (
     "row long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 )
 
 
-class _WordIds(dict):
-    """Packed token ids of words, given by the tokenizer.
+class _Cache(dict):
+    """Packed token ids of parts of texts, learned when first asked for."""
+
+    def __init__(self, learn: Callable[[str], bytes], most: int):
+        super().__init__()
+        self._learn, self._most = learn, most
+
+    def __missing__(self, part: bytes) -> bytes:
+        ids = self._learn(part.decode())
+        if len(part) <= LONGEST:
+            if len(self) >= self._most:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
+class _WordIds:
+    """Packed token ids of texts, given by the tokenizer.
 
     No token spans a space or a line feed, so the ids of a text are those of the runs
     between them. A run of Latin letters with ASCII punctuation behind is two parts for
     the tokenizer, the letters in lower case and the rest; the letters go straight to
-    its model, under which many spellings meet. Any other run goes through all of it.
+    its model. Any other run goes through all of it. Runs are cut and lower-cased in the
+    bytes of many texts at once, so that the spellings of a word meet before they are looked
+    up, each once.
     """
 
     def __init__(self, file: str, most: int = 120_000, most_letters: int = 320_000):
         from tokenizers import Tokenizer
 
-        super().__init__()
         tokenizer = Tokenizer.from_file(tokenizer_path(file))
-        self._encode, self._model = tokenizer.encode, tokenizer.model.tokenize
-        self._letters: dict[str, bytes] = {}
-        self._most, self._most_letters = most, most_letters
-
-    def __missing__(self, word: str) -> bytes:
-        letters = word.rstrip(punctuation)
-        ids = self._letters.get(letters.lower()) if letters else None
-        if ids is None:
-            if not letters.isalpha() or max(letters) >= "\u0100" or len(word) > 64:
-                ids = array("I", self._encode(word, add_special_tokens=False).ids).tobytes()
-                if len(word) <= 64:
-                    self._keep(word, ids)
-                return ids
-            ids = self._learn(letters.lower())
-        if len(letters) < len(word):
-            ids += self[word[len(letters) :]]
-        self._keep(word, ids)
-        return ids
+        encode, model = tokenizer.encode, tokenizer.model.tokenize
 
-    def _keep(self, word: str, ids: bytes) -> None:
-        if len(self) >= self._most:
-            self.clear()
-        self[word] = ids
-
-    def _learn(self, letters: str) -> bytes:
-        symbols = letters if letters.isascii() else letters.encode().decode("latin1").translate(BYTES)
-        ids = array("I", [token.id for token in self._model(symbols)]).tobytes()
-        if len(self._letters) >= self._most_letters:
-            self._letters.clear()
-        self._letters[letters] = ids
-        return ids
+        def whole(run: str) -> bytes:
+            return array("I", encode(run, add_special_tokens=False).ids).tobytes()
+
+        def letters(word: str) -> bytes:
+            word = word.lower()
+            symbols = word if word.isascii() else word.encode().decode("latin1").translate(BYTES)
+            return array("I", [token.id for token in model(symbols)]).tobytes()
+
+        self._letters, self._runs = _Cache(letters, most_letters), _Cache(whole, most)
+        # Strings that the tokenizer finds before it lower-cases the text around them.
+        added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        self._added = sorted({c.lower().encode() for c in added if c})
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
         """The packed ids of each text."""
@@ -90,11 +97,36 @@ class _WordIds(dict):
         yield from self._together(waiting)
 
     def _together(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Look up each distinct word of the texts once, then spread the ids."""
+        """Look up each distinct part of the texts once, then spread the ids."""
         data = b"\n".join(texts)
-        start, end, hashes = words_of(data, BREAKS)
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        found = [self[data[a:b].decode()] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        low = data.translate(_LOWER)
+        if not any(added in low for added in self._added):
+            data = low
+        codes = np.frombuffer(data, np.uint8)
+        run, run_end, sums = runs_of(data, BREAKS)
+        # Where the punctuation behind a run begins.
+        place = np.arange(1, len(codes) + 1)
+        place[_PUNCTUATION[codes]] = 0
+        tail = np.maximum(np.maximum.accumulate(place)[run_end - 1], run) if len(run) else run
+        # Bytes of anything but ASCII letters and the letters from U+00C0 to U+00FF.
+        odd = _ODD[codes]
+        odd[1:] |= _SIGNS[codes[1:]] & (codes[:-1] == 0xC3)
+        odds = np.concatenate([[0], np.cumsum(odd)])
+        plain = (tail > run) & (odds[tail] == odds[run]) & (run_end - run <= LONGEST)
+        cut = plain & (tail < run_end)
+        start = np.concatenate([run, tail[cut]])
+        end = np.concatenate([np.where(plain, tail, run_end), run_end[cut]])
+        kind = np.concatenate([plain, np.zeros(int(cut.sum()), bool)])
+        order = np.argsort(start, kind="stable")
+        start, end, kind = start[order], end[order], kind[order]
+        which, distinct = pd.factorize(sums(start, end))
+        first = np.empty(len(distinct), np.int64)
+        first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+        letters, runs = self._letters, self._runs
+        found = [
+            letters[data[a:b]] if k else runs[data[a:b]]
+            for a, b, k in zip(start[first].tolist(), end[first].tolist(), kind[first].tolist())
+        ]
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         ids = np.frombuffer(b"".join(found), "<u4")
         begin = np.cumsum(size) - size
@@ -102,11 +134,11 @@ class _WordIds(dict):
         upto = np.cumsum(n)
         at = np.arange(int(n.sum())) + np.repeat(begin[which] - (upto - n), n)
         spread = ids[at].tobytes()
-        # ids before the first word of each text
+        # ids before the first part of each text
         ends = np.cumsum([len(t) + 1 for t in texts])
-        words = np.searchsorted(start, ends)
+        parts = np.searchsorted(start, ends)
         last = 0
-        for upper in np.concatenate([[0], upto])[words].tolist():
+        for upper in np.concatenate([[0], upto])[parts].tolist():
             yield spread[4 * last : 4 * upper]
             last = upper
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -38,10 +39,13 @@ def _slabs(data: bytes) -> list[bytes]:
     return out
 
 
-def words_of(slab: bytes, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and 64-bit hash of each run of bytes that aren't ``breaks`` (a mask by byte).
+def runs_of(
+    slab: bytes, breaks: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, Callable[[np.ndarray, np.ndarray], np.ndarray]]:
+    """Start and end of each run of bytes that aren't ``breaks`` (a mask by byte), and a hash.
 
-    The hashes come from prefix sums over the bytes, without a loop over words.
+    The hash of stretches (starts, ends) comes from prefix sums over the bytes, without a
+    loop over them.
     """
     codes = np.frombuffer(slab, np.uint8)
     n = len(codes)
@@ -51,10 +55,15 @@ def words_of(slab: bytes, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     letter = np.zeros(n + 2, np.int8)
     letter[1:-1] = ~breaks[codes]
     edges = np.flatnonzero(letter[1:] != letter[:-1])
-    start, end = edges[::2], edges[1::2]
     sums = np.zeros(n + 1, _U)
     np.cumsum(_BYTE[codes] * up[:n], out=sums[1:])
-    return start, end, mix((sums[end] - sums[start]) * down[start])
+    return edges[::2], edges[1::2], lambda start, end: mix((sums[end] - sums[start]) * down[start])
+
+
+def words_of(slab: bytes, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and 64-bit hash of each run of bytes that aren't ``breaks``."""
+    start, end, sums = runs_of(slab, breaks)
+    return start, end, sums(start, end)
 
 
 def break_mask(breaks: bytes) -> np.ndarray:
