@@ -39,6 +39,7 @@ WORD_SEED = 12  # words of an anchor
 BASE = _U(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(400).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 BUFFER = 1 << 18  # bytes hashed at a time
+ENTRIES = 10_000  # surroundings of an anchor that one task compares
 _SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
 
 
@@ -248,6 +249,9 @@ def surroundings(docs: DataFrame, found: DataFrame, owners: DataFrame, length: i
     marks = found.filter("hash IS NOT NULL").select("cls", "first", "last", "hash")
     place = F.struct("cls", "first")
     often = marks.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("hash")
+    # Stored, so that both sides of the join come straight out of a shuffle, which Spark
+    # splits where an anchor is very frequent.
+    often = stored(often, "often")
     wanted = (
         marks.join(often, "hash")
         .distinct()
@@ -303,7 +307,8 @@ def repeats(entries: DataFrame, length: int, words: bool) -> DataFrame:
     """(entry, low, high): stretch starts of an entry that also occur in another entry.
 
     ``entries`` has (hash, entry, n, bytes); entries with n > 1 are repeated as a whole
-    and only serve as what others are compared with.
+    and only serve as what others are compared with. An anchor with very many entries is
+    dealt to several tasks, each of which compares a share of the stretches, by fingerprint.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,6 +326,12 @@ def repeats(entries: DataFrame, length: int, words: bool) -> DataFrame:
                 keys = rolling(data, length)[begin[own] + offset]
                 entry = part.column(0).to_numpy()
                 whole = part.column(1).to_numpy() > 1
+                shares = part.column(3).to_numpy()
+                if shares.max() > 1:
+                    mine = keys % shares[own].astype(_U) == part.column(4).to_numpy()[own].astype(_U)
+                    keys, own, offset = keys[mine], own[mine], offset[mine]
+                    if not len(keys):
+                        continue
                 owner, offset = family.add(
                     keys, entry[own], offset.astype(np.int32), whole[own]
                 )
@@ -328,9 +339,15 @@ def repeats(entries: DataFrame, length: int, words: bool) -> DataFrame:
                     yield _repeat_rows(owner, offset)
 
     spark = entries.sparkSession
+    many = entries.groupBy("hash").agg(F.ceil(F.count("*") / ENTRIES).alias("shares")).filter("shares > 1")
+    dealt = (
+        entries.join(stored(many, "many"), "hash", "left")
+        .withColumn("shares", F.coalesce("shares", F.lit(1)))
+        .withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+    )
     return (
-        entries.repartition(shuffle_partitions(spark), "hash")
-        .select("entry", "n", "bytes")
+        dealt.repartition(shuffle_partitions(spark), "hash", "share")
+        .select("entry", "n", "bytes", "shares", "share")
         .mapInArrow(compare, "entry long, low long, high long")
     )
 
@@ -416,9 +433,11 @@ def _kept(data: bytes, spans: list[dict]) -> tuple[bytes, int, int]:
     return b"".join(out), int((high - low).sum()), len(low)
 
 
-def digest(docs: DataFrame, *, length: int = 400) -> DataFrame:
+def digest(docs: DataFrame, *, length: int = 400, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row of ``docs``.
 
+    ``carry`` may name ``cls``, the hash of the text, which then comes first.
+
     Null texts are empty. Repeated rows are copies and so remove each other, if they are
     long enough. Texts shorter than ``length`` bytes are kept as they are.
     """
@@ -447,6 +466,7 @@ def digest(docs: DataFrame, *, length: int = 400) -> DataFrame:
         .dropDuplicates(["cls"])
     )
     return rows.join(changed, "cls", "left").select(
+        *carry,
         "doc_id",
         F.col("size").alias("n_bytes"),
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
@@ -503,5 +523,33 @@ def content_class_of(text: Column) -> Column:
     return classes(text)
 
 
+def repeated_words(docs: DataFrame, *, words: int = 51) -> DataFrame:
+    """(cls, n_repeated_words): words of a text class within repeated stretches of so many words."""
+    _, spans = repeated_spans(docs, length=words, words=True)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for spans in batch.column(1).to_pylist():
+                low, high = runs(np.array([s["low"] for s in spans]), np.array([s["high"] for s in spans]))
+                found.append(int((high - low).sum()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.int64())], names=["cls", "n_repeated_words"]
+            )
+
+    return spans.mapInArrow(count, "cls long, n_repeated_words long")
+
+
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    return digest(read(spark, sf_dir, "documents"))
+    """``digest``, and behind it the words in passages of 51 words and more that repeat.
+
+    Those have often fewer than 400 bytes; they are counted, not removed.
+    """
+    docs = read(spark, sf_dir, "documents")
+    in_words = repeated_words(docs)
+    return (
+        digest(docs, carry=("cls",))
+        .join(in_words, "cls", "left")
+        .drop("cls")
+        .withColumn("n_repeated_words", F.coalesce("n_repeated_words", F.lit(0).cast("long")))
+    )

@@ -163,6 +163,25 @@ def test_suffix_dedup(documents, length):
     ) == sorted(expected)
 
 
+def test_an_anchor_dealt_to_many_tasks_gives_the_same(documents, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "ENTRIES", 2)
+    test_suffix_dedup(documents, 64)
+
+
+def test_words_in_repeated_passages_are_counted(llm, documents, tmp_path):
+    passage = " ".join(f"w{i}" for i in range(51))
+    table = [(i, f"{prose(30, i)} {passage} {prose(20, 20 + i)}") for i in (1, 2)]
+    table += [(3, prose(70, 3)), (4, f"{prose(9, 4)}\n{passage.replace(' ', '  ')}"), (5, None), (6, passage[:-4])]
+    table += [(i, "x" * 450 + str(i)) for i in (7, 8)] + [(9, prose(60, 9))] * 2 + [(10, "v " * 60)]
+    documents(*table).write.parquet(str(tmp_path / "documents.parquet"))
+    got = suffix_dedup.op10_suffix_dedup(llm, str(tmp_path))
+    assert got.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    found = {r.doc_id: r for r in got.collect()}
+    counts = {i: r.n_repeated_words for i, r in found.items()}
+    assert counts == {1: 51, 2: 51, 3: 0, 4: 51, 5: 0, 6: 0, 7: 0, 8: 0, 9: 60, 10: 60}
+    assert found[1].n_removed == 0 and found[7].n_removed > 0
+
+
 def test_suffix_levels_stay_logarithmic():
     family, law, seen, told = suffix_dedup.SuffixLevels(), np.random.default_rng(1), {}, set()
     for batch in range(40):
