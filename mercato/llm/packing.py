@@ -25,7 +25,7 @@ from mercato.llm.shingles import break_mask, runs_of
 from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of, tokenizer_path
 
 BREAKS = break_mask(b" \n")
-TOGETHER = 1 << 20  # bytes of texts whose words are looked up together
+TOGETHER = 1 << 19  # bytes of texts whose words are looked up together
 LONGEST = 64  # bytes of a part that is kept
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -65,7 +65,7 @@ class _WordIds:
     up, each once.
     """
 
-    def __init__(self, file: str, most: int = 120_000, most_letters: int = 320_000):
+    def __init__(self, file: str, most: int = 100_000, most_letters: int = 200_000):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_path(file))
@@ -105,13 +105,13 @@ class _WordIds:
         codes = np.frombuffer(data, np.uint8)
         run, run_end, sums = runs_of(data, BREAKS)
         # Where the punctuation behind a run begins.
-        place = np.arange(1, len(codes) + 1)
+        place = np.arange(1, len(codes) + 1, dtype=np.int32)
         place[_PUNCTUATION[codes]] = 0
         tail = np.maximum(np.maximum.accumulate(place)[run_end - 1], run) if len(run) else run
         # Bytes of anything but ASCII letters and the letters from U+00C0 to U+00FF.
         odd = _ODD[codes]
         odd[1:] |= _SIGNS[codes[1:]] & (codes[:-1] == 0xC3)
-        odds = np.concatenate([[0], np.cumsum(odd)])
+        odds = np.concatenate([np.zeros(1, np.int32), np.cumsum(odd, dtype=np.int32)])
         plain = (tail > run) & (odds[tail] == odds[run]) & (run_end - run <= LONGEST)
         cut = plain & (tail < run_end)
         start = np.concatenate([run, tail[cut]])
@@ -177,7 +177,7 @@ def pieces(
         _WORDS[tokenizer] = words
         end = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
-        for batch in small(batches):
+        for batch in small(batches, 250):
             out: list[tuple] = []
             rows, doc_ids, texts = (batch.column(i).to_pylist() for i in range(3))
             for row, doc_id, ids in zip(rows, doc_ids, words.of(texts)):
