@@ -3,8 +3,10 @@
 Every line and every paragraph of a file is compared with every template, and within longer
 ones every window of as many terms as the template has; the best one from ``threshold`` on
 is the file's licence. A template also names the terms that tell its licence from its
-neighbours: without them, or with those of a neighbour, it doesn't match. A file without one inherits from the nearest
-ancestor directory in which a file declares a licence.
+neighbours: without them, with those of a neighbour, or behind a negation it doesn't match.
+Templates are notices, titles of licence texts and lines with short identifiers; of a line
+that names several licences the best match counts. A file without one inherits from the
+nearest ancestor directory in which a file declares a licence.
 """
 
 from __future__ import annotations
@@ -23,6 +25,13 @@ from mercato.llm.shared import read, small, stored, text_of
 
 
 
+TERM = re.compile(r"\w+")
+
+
+def terms(text: str) -> list[str]:
+    return TERM.findall(text.lower())
+
+
 class Template(NamedTuple):
     """A notice. ``needs`` must all be in what matches, ``bars`` not in it or ``NEAR`` terms around.
 
@@ -39,6 +48,8 @@ class Template(NamedTuple):
 
 
 NEAR, AHEAD = 4, 250
+# Within so many terms before the first that a template needs, these say that it doesn't hold.
+NEGATIONS, NEGATED = frozenset("not never neither nor t".split()), 4  # t: as in isn't
 # Says that there is no licence; gives way to any licence that a file or directory names.
 NO_LICENCE = "All-Rights-Reserved"
 
@@ -77,6 +88,11 @@ def _gnu() -> Iterator[Template]:
         needs = f"{kind.lower()} general public {version.replace('.', ' ')}"
         bars = " ".join({"lesser", "library", "affero"} - {kind.lower()})
         yield Template(name, f"This work is licensed under the {title}, version {version}.", needs, bars)
+        yield Template(name, f"{title} Version {version}", needs, bars)  # the title of its text
+        if "." not in version:
+            short = name.split("-")[0].lower()
+            yield Template(name, f"Released under {short}v{version}.", f"{short}v{version}")
+            yield Template(name, f"Licensed under the {short} v{version}.", f"{short} v{version}")
         yield Template(
             name,
             f"This program is free software: you can redistribute it and/or modify it under the "
@@ -87,6 +103,21 @@ def _gnu() -> Iterator[Template]:
         )
 
 
+def _identifiers() -> Iterator[Template]:
+    """Lines that name a licence by its short identifier."""
+    names = (
+        "MIT MIT-0 ISC 0BSD Apache-2.0 BSD-2-Clause BSD-3-Clause BSD-4-Clause GPL-2.0 GPL-3.0 LGPL-2.0 LGPL-2.1 "
+        "LGPL-3.0 AGPL-3.0 MPL-1.1 MPL-2.0 EPL-1.0 EPL-2.0 BSL-1.0 CC0-1.0 Unlicense Zlib Artistic-2.0"
+    ).split()
+    names += list(dict.fromkeys(t.name for t in _creative_commons()))
+    for name in names:
+        own = terms(name)
+        bars = {"MIT": "0"}.get(name, "")
+        if "by" in own:
+            bars = " ".join({"nc", "sa", "nd"} - set(own))
+        yield Template(name, f"SPDX-License-Identifier: {name}", f"spdx identifier {' '.join(own)}", bars)
+
+
 _BSD = (
     "Redistribution and use in source and binary forms, with or without "
     "modification, are permitted provided that the following conditions are met"
@@ -113,6 +144,7 @@ TEMPLATES = (
     Template("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use "
                            "this file except in compliance with the License. You may obtain a copy of the "
                            "License at http://www.apache.org/licenses/LICENSE-2.0", "apache 2 0"),
+    Template("Apache-2.0", "Apache License Version 2.0, January 2004", "apache version 2 0"),
     *_gnu(),
     Template("BSD-2-Clause", "Licensed under the BSD 2-Clause License.", "bsd 2 clause"),
     Template("BSD-3-Clause", "Licensed under the BSD 3-Clause License.", "bsd 3 clause"),
@@ -123,19 +155,24 @@ TEMPLATES = (
              "mozilla 2 0"),
     Template("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1",
              "mozilla 1"),
+    Template("MPL-2.0", "Mozilla Public License Version 2.0", "mozilla public 2 0"),
+    Template("EPL-1.0", "Eclipse Public License - v 1.0", "eclipse public 1 0"),
+    Template("EPL-2.0", "Eclipse Public License - v 2.0", "eclipse public 2 0"),
+    Template("BSL-1.0", "Boost Software License - Version 1.0", "boost 1 0"),
+    Template("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.", "boost 1 0"),
+    Template("CC0-1.0", "CC0 1.0 Universal", "cc0 1 0"),
+    Template("CC0-1.0", "Creative Commons Zero v1.0 Universal", "creative commons zero universal"),
+    Template("Unlicense", "This is free and unencumbered software released into the public domain.",
+             "unencumbered public domain"),
     *_creative_commons(),
+    *_identifiers(),
     Template(NO_LICENCE, "All rights reserved.", "all rights reserved"),
 )
 
-TERM = re.compile(r"\w+")
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-][^/]*)?$"
 PARAGRAPH = re.compile(r"\n[^\S\n]*\n")
 
 
-def terms(text: str) -> list[str]:
-    return TERM.findall(text.lower())
-
-
 def document_frequencies(texts: DataFrame, wanted: Iterable[str]) -> tuple[int, dict[str, int]]:
     """Number of texts, and in how many each template term occurs; one row per term comes back."""
     vocabulary = frozenset(wanted)
@@ -245,6 +282,9 @@ class Matcher:
                     continue
                 if not bars.isdisjoint(every[max(low, a - NEAR) : min(high, b + NEAR)]):
                     continue
+                said = next((x for x in range(a, b) if every[x] in needs), a)
+                if not NEGATIONS.isdisjoint(every[max(low, said - NEGATED) : said]):
+                    continue
                 if later or never:
                     ahead = every[a : b + AHEAD]
                     if not later.issubset(ahead) or not never.isdisjoint(ahead):

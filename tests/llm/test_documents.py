@@ -360,6 +360,107 @@ def test_licenses_are_inherited_from_the_nearest_directory(llm):
     }
 
 
+def licence_by_hand(text, templates, texts, frequency, threshold=0.7):
+    """(licence, cosine) over every line, paragraph and window, without looking for heavy terms."""
+    import math
+
+    known = {t for x in templates for t in license_scan.terms(x.text)}
+    weigh = lambda t: math.log((1 + texts) / (1 + frequency.get(t, 0) * (t in known))) + 1
+
+    def vector(found):
+        raw = {t: found.count(t) * weigh(t) for t in set(found)}
+        length = math.sqrt(sum(w * w for w in raw.values()))
+        return {t: w / length for t, w in raw.items()}
+
+    every = license_scan.terms(text)
+    spans, at = [], 0
+    for paragraph in re.split(r"\n[^\S\n]*\n", text):
+        begin = at
+        for line in paragraph.split("\n"):
+            low, at = at, at + len(license_scan.terms(line))
+            spans.append((low, at, low, at, False))
+        spans.append((begin, at, begin, at, True))
+    best = None
+    for x in templates:
+        needs, bars, later, never = (set(y.split()) for y in x[2:])
+        own = vector(license_scan.terms(x.text))
+        size = len(license_scan.terms(x.text))
+        places = {s[:4] for s in spans}
+        for low, high, _, _, whole in spans:
+            if whole:
+                places |= {(a, a + size, low, high) for a in range(low, high - size + 1)}
+        for a, b, low, high in places:
+            inside = every[a:b]
+            if not needs <= set(inside) or bars & set(every[max(low, a - 4) : min(high, b + 4)]):
+                continue
+            said = min(i for i in range(a, b) if every[i] in needs)
+            if license_scan.NEGATIONS & set(every[max(low, said - 4) : said]):
+                continue
+            ahead = set(every[a : b + 250])
+            if not later <= ahead or never & ahead:
+                continue
+            other = vector(inside)
+            cosine = sum(w * other.get(t, 0) for t, w in own.items())
+            if cosine >= threshold:
+                key = (x.name != license_scan.NO_LICENCE, round(cosine, 9), a - b, x.name)
+                best = key if best is None else max(best, key)
+    return (best[3], min(1.0, best[1])) if best else (None, None)
+
+
+def test_license_scan_against_brute_force(llm):
+    """Notices, titles and identifiers, whole, cut, joined and negated, in lines and paragraphs."""
+    import random
+    from collections import Counter
+
+    draw = random.Random(6)
+    notices = [x.text for x in license_scan.TEMPLATES]
+    texts = [None, "", "\n\n", notices[0], "all rights reserved " * 300]
+    for i in range(260):
+        parts = []
+        for _ in range(draw.randrange(1, 5)):
+            words = draw.choice(notices).split()
+            if draw.random() < 0.3:
+                words = words[draw.randrange(3) : len(words) - draw.randrange(3)]
+            if draw.random() < 0.2:
+                words.insert(draw.randrange(len(words) + 1), draw.choice(["not", "NC", "lesser", "endorse", "advertising"]))
+            parts += [" ".join(words), prose(draw.randrange(12), i)]
+        texts.append("".join(p + draw.choice([" ", "\n", "\n\n", "\n \n"]) for p in parts))
+    files = llm.createDataFrame(
+        [(i, f"d{i}/f", t, 1.0, "x") for i, t in enumerate(texts)],
+        "id long, path string, text string, score double, license string",
+    )
+    frequency = Counter(t for x in texts for t in set(license_scan.terms(x or "")))
+    expected = {
+        i: licence_by_hand(x or "", license_scan.TEMPLATES, len(texts), frequency) for i, x in enumerate(texts)
+    }
+    got = {r.id: (r.license, r.score) for r in license_scan.scan(files.repartition(3)).collect()}
+    assert {i: n for i, (n, _) in got.items()} == {i: n for i, (n, _) in expected.items()}
+    assert all(s is None or abs(s - expected[i][1]) < 1e-6 for i, (_, s) in got.items())
+    assert len({n for n, _ in expected.values()}) > 25
+
+
+@pytest.mark.parametrize(
+    "text,name",
+    [
+        ("// SPDX-License-Identifier: MIT", "MIT"), ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+        ("# SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"), ("SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"),
+        ("SPDX-License-Identifier: CC-BY-SA-4.0", "CC-BY-SA-4.0"), ("SPDX-License-Identifier: MIT-0", "MIT-0"),
+        ("   Apache License\n  Version 2.0, January 2004\n http://www.apache.org/licenses/\n\nTERMS", "Apache-2.0"),
+        ("Mozilla Public License Version 2.0\n====\n\n1. Definitions", "MPL-2.0"),
+        ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nCopyright", "GPL-3.0"),
+        ("CC0 1.0 Universal", "CC0-1.0"), ("Released under GPLv3", "GPL-3.0"), ("Licensed under the LGPL v3.", "LGPL-3.0"),
+        ("This is free and unencumbered software released into the public domain.\n\nAnyone is free", "Unlicense"),
+        ("Eclipse Public License - v 2.0", "EPL-2.0"), ("Boost Software License - Version 1.0 - August 17th, 2003", "BSL-1.0"),
+        ("Not released under the MIT License.", None), ("This isn't licensed under the Apache License, Version 2.0.", None),
+        ("Released under the MIT License, not the GPL.", "MIT"), ("spdx identifier " * 5000, None),
+    ],
+)
+def test_headers_titles_and_negations(llm, text, name):
+    n, frequency = 1000, {t: 3 for x in license_scan.TEMPLATES for t in license_scan.terms(x.text)}
+    found = license_scan.Matcher(license_scan.TEMPLATES, n, frequency, 0.7).best(text)
+    assert (found and found[0]) == name
+
+
 def test_neighbouring_licenses_are_told_apart(llm):
     work = "This work is licensed under the GNU"
     bsd = license_scan._BSD + ":\n\n1. Source code must retain the notice.\n2. Binary forms must reproduce the notice."
