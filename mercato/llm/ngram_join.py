@@ -17,6 +17,7 @@ much work there is, never the result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.components import components
-from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of
+from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of, tidy
 from mercato.llm.shingles import class_id, shingles
 
 THRESHOLD = 80  # percent
@@ -113,7 +114,7 @@ def features(docs: DataFrame, words: int) -> DataFrame:
         yield _frequent_rows(new)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
-        shingle, "doc_id long, cls long, n long, bits binary, token long, count long"
+        tidy(shingle), "doc_id long, cls long, n long, bits binary, token long, count long"
     )
 
 
@@ -189,7 +190,7 @@ def postings(docs: DataFrame, words: int, frequent: np.ndarray) -> DataFrame:
                     names=["token", "salt", "n", "cls"],
                 )
 
-    return docs.select(text_of().alias("text")).mapInArrow(prefixes, "token long, salt int, n long, cls long")
+    return docs.select(text_of().alias("text")).mapInArrow(tidy(prefixes), "token long, salt int, n long, cls long")
 
 
 def lists(entries: DataFrame) -> DataFrame:
@@ -244,10 +245,15 @@ def lists(entries: DataFrame) -> DataFrame:
     return (
         entries.repartition(shuffle_partitions(spark), "token", "salt")
         .sortWithinPartitions("token", "salt", "n", "cls")
-        .mapInArrow(stream, "token long, cls long, n long, head long")
+        .mapInArrow(tidy(stream), "token long, cls long, n long, head long")
     )
 
 
+def size_class(n: Column) -> Column:
+    """Sizes of sets that may link are in one class or in neighbouring ones."""
+    return F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / math.log(100 / THRESHOLD) + 1e-9)
+
+
 def _size_class(n: np.ndarray) -> np.ndarray:
     """Sizes of one class may be of similar sets."""
     return np.floor(np.log(np.maximum(n, 1)) / np.log(100 / THRESHOLD) + 1e-9)
@@ -276,7 +282,7 @@ def within_bound(pairs: DataFrame, bits: DataFrame) -> DataFrame:
         .filter(linkable(F.col("n_a"), F.col("n_b")))
         .select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
     )
-    return sized.mapInArrow(bound, "a long, b long, n_a long, n_b long, bound long").filter(
+    return sized.mapInArrow(tidy(bound), "a long, b long, n_a long, n_b long, bound long").filter(
         reaches(F.col("bound"), F.col("n_a"), F.col("n_b"))
     )
 
@@ -311,7 +317,7 @@ def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, words: int) -
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
         .join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
         .select("cls", "text")
-        .mapInArrow(sets_of, "cls long, tokens binary")
+        .mapInArrow(tidy(sets_of), "cls long, tokens binary")
         .dropDuplicates(["cls"]),
         "sets",
     )
@@ -332,7 +338,7 @@ def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, words: int) -
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
     return stored(
-        pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"),
+        pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(compare), "a long, b long"),
         "verified",
     )
 
@@ -364,22 +370,29 @@ def open_groups(listed: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFr
     """Pairs (a, b) to verify between groups, with ``other``, the group of b, and the bound.
 
     The smaller group asks the larger, of equals the one with the smaller number. A list
-    holds each group once, so lists of similar documents don't pair up.
+    holds each group once for each class of sizes, so lists of similar documents don't pair
+    up. A class asks only for members of its own class of sizes and the two beside it, for
+    a partner is in the same list and in one of these.
     """
     sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
     in_list = stored(
-        listed.select("token", "cls").join(groups, "cls").join(sizes, "grp"), "matrix"
+        listed.select("token", "cls", "n", size_class(F.col("n")).alias("of_size"))
+        .join(groups, "cls")
+        .join(sizes, "grp"),
+        "matrix",
+    )
+    columns = in_list.groupBy("token", F.col("of_size").alias("size"), F.col("grp").alias("other")).agg(
+        F.max("members").alias("others"), F.min("n").alias("least"), F.max("n").alias("most")
     )
-    columns = in_list.select(
-        F.col("token"), F.col("grp").alias("other"), F.col("members").alias("others")
-    ).distinct()
     asked = (
-        in_list.join(columns, "token")
+        in_list.withColumn("size", F.explode(F.array(*[F.col("of_size") + i for i in (-1, 0, 1)])))
+        .join(columns, ["token", "size"])
         .filter(
             (F.col("others") > F.col("members"))
             | ((F.col("others") == F.col("members")) & (F.col("other") > F.col("grp")))
         )
-        .select("cls", "other")
+        .filter((100 * F.col("n") >= THRESHOLD * F.col("least")) & (100 * F.col("most") >= THRESHOLD * F.col("n")))
+        .select("cls", "other", "size")
         .distinct()
     )
     matrix = blocks(groups.join(sizes, "grp").join(bits, "cls"))
@@ -404,14 +417,17 @@ def open_groups(listed: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFr
 
     return (
         asked.join(bits, "cls")
-        .join(matrix, "other")
+        .join(matrix, ["other", "size"])
         .select("cls", "other", "n", "bits", "union", "members")
-        .mapInArrow(opened, "a long, b long, n_a long, n_b long, bound long, other long")
+        .mapInArrow(tidy(opened), "a long, b long, n_a long, n_b long, bound long, other long")
     )
 
 
 def blocks(members: DataFrame) -> DataFrame:
-    """(other, union, members): groups in blocks of about BLOCK classes with the union of their bits."""
+    """(other, size, union, members): groups in blocks of at most about BLOCK classes of like size.
+
+    ``union`` has the bits of all of a block's members.
+    """
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -421,18 +437,18 @@ def blocks(members: DataFrame) -> DataFrame:
                 size = min(map(len, rows))
                 unions.append(np.bitwise_or.reduce([folded(r, size) for r in rows]).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(unions, pa.binary()), batch.column(1)],
-                names=["other", "union", "members"],
+                [batch.column(0), batch.column(2), pa.array(unions, pa.binary()), batch.column(1)],
+                names=["other", "size", "union", "members"],
             )
 
     parts = F.ceil(F.col("members") / BLOCK)
     return (
         members.withColumn("part", F.pmod(F.xxhash64("cls"), parts))
-        .groupBy(F.col("grp").alias("other"), "part")
+        .groupBy(F.col("grp").alias("other"), size_class(F.col("n")).alias("size"), "part")
         .agg(F.collect_list(F.struct("cls", "n", "bits")).alias("members"))
-        .select("other", "members")
+        .select("other", "members", "size")
         .mapInArrow(
-            unite, "other long, union binary, members array<struct<cls:long,n:long,bits:binary>>"
+            unite, "other long, size long, union binary, members array<struct<cls:long,n:long,bits:binary>>"
         )
     )
 

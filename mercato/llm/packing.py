@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.shingles import break_mask, runs_of
-from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of, tokenizer_path
+from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of, tidy, tokenizer_path
 
 BREAKS = break_mask(b" \n")
 TOGETHER = 1 << 19  # bytes of texts whose words are looked up together
@@ -195,7 +195,7 @@ def pieces(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_of().alias("text"),
     )
-    out = narrow.mapInArrow(tokenise, PIECES)
+    out = narrow.mapInArrow(tidy(tokenise), PIECES)
     return out if with_ids else out.drop("ids")
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
@@ -111,6 +112,31 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def _trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+def tidy(
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` that gives freed memory back to the system at its end.
+
+    Python workers serve task after task, and what the allocators keep of one stage would
+    count against the executor in the next.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := _trim():
+            trim(0)
+
+    return tidied
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.shingles import mix
-from mercato.llm.shared import broadcast_if_small, read, shuffle_partitions, small, stored, text_of
+from mercato.llm.shared import broadcast_if_small, read, shuffle_partitions, small, stored, text_of, tidy
 
 _U = np.uint64
 SEED = 32  # k, bytes of an anchor
@@ -219,7 +219,7 @@ def profiles(docs: DataFrame, length: int, words: bool) -> DataFrame:
             yield _profile_rows(ids, classes, sizes, digests, none, none, none)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
-        scan,
+        tidy(scan),
         "doc_id long, cls long, size long, sha256 string, first long, last long, hash long",
     )
 
@@ -290,7 +290,7 @@ def surroundings(docs: DataFrame, found: DataFrame, owners: DataFrame, length: i
     return (
         texts.join(broadcast_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("of")))
         .select("cls", "marks", "text")
-        .mapInArrow(cut, "cls long, first long, last long, hash long, entry long, bytes binary")
+        .mapInArrow(tidy(cut), "cls long, first long, last long, hash long, entry long, bytes binary")
     )
 
 
@@ -348,7 +348,7 @@ def repeats(entries: DataFrame, length: int, words: bool) -> DataFrame:
     return (
         dealt.repartition(shuffle_partitions(spark), "hash", "share")
         .select("entry", "n", "bytes", "shares", "share")
-        .mapInArrow(compare, "entry long, low long, high long")
+        .mapInArrow(tidy(compare), "entry long, low long, high long")
     )
 
 
@@ -462,7 +462,7 @@ def digest(docs: DataFrame, *, length: int = 400, carry: tuple[str, ...] = ()) -
     changed = (
         texts.join(broadcast_if_small(stored(spans.join(owners, "cls"), "changed")), F.col("doc_id").eqNullSafe(F.col("of")))
         .select("cls", "spans", "text")
-        .mapInArrow(cut, "cls long, n_removed long, n_spans long, kept string")
+        .mapInArrow(tidy(cut), "cls long, n_removed long, n_spans long, kept string")
         .dropDuplicates(["cls"])
     )
     return rows.join(changed, "cls", "left").select(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.shared import read, small, text_of
+from mercato.llm.shared import read, small, text_of, tidy
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -148,7 +148,7 @@ def train(
 
     counts = (
         sample.select("text", "grade")
-        .mapInArrow(count, "feature string, clean long, graded long")
+        .mapInArrow(tidy(count), "feature string, clean long, graded long")
         .groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("graded").alias("graded"))
         .filter(F.col("clean") + F.col("graded") >= F.when(F.col("feature") == "", 0).otherwise(min_docs))
@@ -223,7 +223,7 @@ def severity(docs: DataFrame, model: Model, *, reject: float = 0.5) -> DataFrame
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")
-    ).mapInArrow(score, "doc_id long, severity double, grade int, toxic boolean")
+    ).mapInArrow(tidy(score), "doc_id long, severity double, grade int, toxic boolean")
 
 
 def without_toxic(docs: DataFrame, model: Model, *, reject: float = 0.5) -> DataFrame:
