@@ -37,18 +37,22 @@ _PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 @contextmanager
-def passing_tables(spark: SparkSession) -> Iterator[None]:
-    """Tables stored within go at the end, when what is read from them must have been written."""
+def recorded_tables() -> Iterator[list[str]]:
+    """The paths of the tables stored within, for ``remove_tables``."""
     paths: list[str] = []
     outer = _PASSING.set(paths)
     try:
-        yield
+        yield paths
     finally:
         _PASSING.reset(outer)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in paths:
-            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables, when what is read from them must have been written."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        at.getFileSystem(conf).delete(at, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -57,7 +61,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     What follows reads files instead of repeating the work, also after an executor is
     lost. The files stay, for the lazy result may be read at any time; they stand under
     ``<spark.checkpoint.dir>/llm/<application id>`` and can go when the application ends,
-    or with ``passing_tables``.
+    or with ``remove_tables``.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
