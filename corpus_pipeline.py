@@ -7,20 +7,43 @@ again, and hands on the columns of documents, the last one the pieces of sequenc
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import mixing, ngram_join, packing, suffix_dedup, toxicity
-from mercato.llm.shared import checkpoint_dir, passing_tables, read, ship, text_of
+from mercato.llm.shared import checkpoint_dir, read, recorded_tables, remove_tables, ship, text_of
 
+# The intermediate tables of the stage last called, by application.
+_STORED: dict[str, list[str]] = {}
 
+
+def stage(build):
+    """A stage, at whose start the intermediate tables of the one called before it go.
+
+    A stage's result is written before the next one is called, so they have served.
+    """
+
+    @wraps(build)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        application = spark.sparkContext.applicationId
+        remove_tables(spark, _STORED.get(application, []))
+        with recorded_tables() as paths:
+            _STORED[application] = paths
+            return build(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents with a probability of at least a half of being toxic go."""
-    ship(spark)
     return toxicity.without_toxic(docs, toxicity.trained(spark, docs, sf_dir))
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: of each component of similar documents the one with the least id stays.
 
@@ -28,7 +51,6 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     without words link with nothing, and all stay; so do null ids where a component has no
     other. Columns of any name come along; an empty table stays empty.
     """
-    ship(spark)
     of_class = ngram_join.joined(docs).select("doc_id", "cls", "n_shingles", "component_id")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "cls")
     linked = of_class.filter("n_shingles > 0")
@@ -52,28 +74,28 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return rows.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
+@stage
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: stretches of 400 bytes or 51 words that occur elsewhere leave the texts."""
-    ship(spark)
     return suffix_dedup.without_repeats(docs, words=51)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: sources to their target weights; a row for each copy that the mix takes.
 
     Rows are ordered by the shard they are drawn for, and by hash within it.
     """
-    ship(spark)
     return mixing.mixed(docs)
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: pieces of at most 4096 tokens, each with its ids and place in a sequence.
 
     ``ids`` are the tokens, little-endian unsigned 32-bit numbers. ``copy`` numbers the rows
     of the stage's input, so that the copies which the mix made of a document differ.
     """
-    ship(spark)
     return packing.pack_documents(docs, with_ids=True).withColumnRenamed("row", "copy")
 
 
@@ -92,9 +114,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     folder = f"{checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
-        with passing_tables(spark):
-            out = stage(spark, docs, sf_dir)
+    try:
+        for name, build in STAGES:
+            out = build(spark, docs, sf_dir)
             out.write.parquet(f"{folder}/{name}")
-        docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
+            docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
+    finally:
+        remove_tables(spark, _STORED.get(spark.sparkContext.applicationId, []))
     return docs
