@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from mercato.llm import mixing, ngram_join, packing, suffix_dedup, toxicity
 from mercato.llm.shared import checkpoint_dir, read, recorded_tables, remove_tables, ship, text_of
 
-# The intermediate tables of the stage last called, by application.
-_STORED: dict[str, list[str]] = {}
+# By application: the stage last called and its intermediate tables.
+_STORED: dict[str, tuple[str, list[str]]] = {}
 
 
 def stage(build):
-    """A stage, at whose start the intermediate tables of the one called before it go.
+    """A stage, at whose start the intermediate tables of the one before it in STAGES go.
 
     A stage's result is written before the next one is called, so they have served.
     """
@@ -29,9 +29,12 @@ def stage(build):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship(spark)
         application = spark.sparkContext.applicationId
-        remove_tables(spark, _STORED.get(application, []))
+        order = ["", *(f.__name__ for _, f in STAGES)]
+        last, tables = _STORED.get(application, ("", []))
+        if last and order.index(last) + 1 == order.index(build.__name__):
+            remove_tables(spark, tables)
         with recorded_tables() as paths:
-            _STORED[application] = paths
+            _STORED[application] = build.__name__, paths
             return build(spark, docs, sf_dir)
 
     return run_stage
@@ -120,5 +123,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             out.write.parquet(f"{folder}/{name}")
             docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
     finally:
-        remove_tables(spark, _STORED.get(spark.sparkContext.applicationId, []))
+        remove_tables(spark, _STORED.get(spark.sparkContext.applicationId, ("", []))[1])
     return docs
