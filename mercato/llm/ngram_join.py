@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.components import components
-from mercato.llm.shared import read, shuffle_partitions, small, stored, text_of, tidy
+from mercato.llm.shared import arrow_batches, read, shuffle_partitions, small, stored, text_of, tidy
 from mercato.llm.shingles import class_id, shingles
 
 THRESHOLD = 80  # percent
@@ -110,7 +110,6 @@ def features(docs: DataFrame, words: int) -> DataFrame:
             yield _feature_rows(ids, classes, sizes, bits, [], [])
             if sum(map(len, new)) > TOGETHER:
                 yield _frequent_rows(new)
-                new = []
         yield _frequent_rows(new)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
@@ -119,15 +118,14 @@ def features(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _frequent_rows(sets: list[np.ndarray]) -> pa.RecordBatch:
-    """The tokens that at least LOCAL of the sets have."""
+    """The tokens that at least LOCAL of the sets have. The sets are given up, to save memory."""
     tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    sets.clear()
     tokens.sort()
-    ends = np.flatnonzero(np.append(tokens[1:] != tokens[:-1], len(tokens) > 0))
-    counts = np.diff(ends, prepend=-1)
-    often = counts >= LOCAL
-    found = tokens[ends[often]].view(np.int64)
+    found = np.unique(tokens[LOCAL - 1 :][tokens[LOCAL - 1 :] == tokens[: len(tokens) - LOCAL + 1]])
+    counts = np.searchsorted(tokens, found, "right") - np.searchsorted(tokens, found)
     none = [None] * len(found)
-    return _feature_rows(none, none, none, none, found, counts[often])
+    return _feature_rows(none, none, none, none, found.view(np.int64), counts)
 
 
 def _feature_rows(ids, classes, sizes, bits, tokens, counts) -> pa.RecordBatch:
@@ -454,11 +452,17 @@ def blocks(members: DataFrame) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, *, words: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, cls, n) and links (a, b) that connect what is connected.
+    """Rows (doc_id, cls, n) and pairs (a, b) that connect what is connected.
 
-    The links hold one for every two classes that any chain of links joins, not each
-    pair of a group: a group that is already connected isn't paired up.
+    The pairs hold a chain for every two classes that any chain of links joins, not each
+    pair of a group: a group that is already connected isn't paired up. A group found so
+    far is a star around its least class, so that later rounds don't connect it anew.
     """
+    with arrow_batches(docs.sparkSession):
+        return _similar_classes(docs, words)
+
+
+def _similar_classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     found = stored(features(docs, words), "features")
     rows = found.filter("cls IS NOT NULL").select("doc_id", "cls", "n")
     owners = rows.groupBy("cls").agg(F.min("doc_id").alias("owner"))
@@ -477,10 +481,9 @@ def similar_classes(docs: DataFrame, *, words: int = 5) -> tuple[DataFrame, Data
         .agg(F.max(F.struct("led", "head")).alias("best"))
         .select(F.col("cls").alias("a"), F.col("best.head").alias("b"))
     )
-    links = verified(within_bound(heads, bits), docs, owners, words)
+    alone = stored(listed.select("cls").distinct(), "listed")
 
-    def groups() -> DataFrame:
-        alone = listed.select("cls").distinct()
+    def groups(links: DataFrame) -> DataFrame:
         return stored(
             alone.join(components(links), F.col("cls") == F.col("node"), "left").select(
                 "cls", F.coalesce("component", "cls").alias("grp")
@@ -488,25 +491,26 @@ def similar_classes(docs: DataFrame, *, words: int = 5) -> tuple[DataFrame, Data
             "groups",
         )
 
-    grouped = groups()
+    def stars(grouped: DataFrame) -> DataFrame:
+        return grouped.filter("cls <> grp").select(F.col("cls").alias("a"), F.col("grp").alias("b"))
+
+    grouped = groups(verified(within_bound(heads, bits), docs, owners, words))
     for _ in range(STAR_ROUNDS):
         new = verified(towards_largest(listed, grouped, bits), docs, owners, words)
         if new.isEmpty():
             break
-        links = links.unionByName(new)
-        grouped = groups()
+        grouped = groups(stars(grouped).unionByName(new))
     pairs = stored(open_groups(listed, grouped, bits), "opened")
     # The best member of each opened group first, the others only where that didn't connect.
     best = Window.partitionBy("a", "other").orderBy(promise().desc(), "b")
     first = pairs.withColumn("rank", F.row_number().over(best)).filter("rank = 1")
-    links = links.unionByName(verified(first, docs, owners, words))
-    grouped = groups()
+    grouped = groups(stars(grouped).unionByName(verified(first, docs, owners, words)))
     rest = (
         pairs.join(grouped.select(F.col("cls").alias("a"), F.col("grp").alias("of_a")), "a")
         .join(grouped.select(F.col("cls").alias("b"), F.col("grp").alias("of_b")), "b")
         .filter("of_a <> of_b")
     )
-    return rows, links.unionByName(verified(rest, docs, owners, words))
+    return rows, stars(grouped).unionByName(verified(rest, docs, owners, words))
 
 
 def joined(docs: DataFrame, *, words: int = 5) -> DataFrame:

@@ -109,6 +109,22 @@ def broadcast_if_small(df: DataFrame, most: int = 64 << 20) -> DataFrame:
     return F.broadcast(df)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, most: str = "4m") -> Iterator[None]:
+    """Batches that go to Python within have at most about ``most`` bytes, or a single row.
+
+    By default they may have 64 MB, which the executor and its Python worker hold several
+    times. Only for steps that run within, not for what is returned lazily.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in slices, which bounds what a task unpacks from them at a time."""
     for batch in batches:
