@@ -23,11 +23,13 @@ def stage(build):
     """A stage, at whose start the intermediate tables of the one before it in STAGES go.
 
     A stage's result is written before the next one is called, so they have served.
+    Batches for Python are kept small in the session from then on, for stages are lazy and an
+    executor holds a batch several times.
     """
 
     @wraps(build)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        ship(spark)
+        ship(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
         application = spark.sparkContext.applicationId
         order = ["", *(f.__name__ for _, f in STAGES)]
         last, tables = _STORED.get(application, ("", []))
