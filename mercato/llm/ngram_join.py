@@ -10,9 +10,12 @@
    members with the same bound are verified, the most promising one first.
 
 A pair with Jaccard similarity of t or more shares a token of the first
-n - ceil(t n) + 1 tokens of both sets in any common order. Tokens found frequent come
-last in that order, so that common passages make few lists. The order only decides how
-much work there is, never the result.
+n - ceil(t n) + 1 tokens of both sets in any common order. Of the two, the smaller set has
+it among its first n - ceil(2 t / (1 + t) n) + 1 ones, its early tokens, for the pair must
+share at least as much as two sets of the smaller size. So two classes that both have a token
+late don't ask each other: texts that a common passage fills by four fifths, too little for a
+link, share its lists in great numbers. Tokens found frequent come last in the order, so that
+common passages make few lists. The order only decides how much work there is, never the result.
 """
 
 from __future__ import annotations
@@ -46,6 +49,11 @@ def least_overlap(n: int) -> int:
     return -(-THRESHOLD * n // 100)
 
 
+def least_of_smaller(n: int) -> int:
+    """Tokens that a set of n tokens must share with any partner of its size or larger."""
+    return -(-2 * THRESHOLD * n // (100 + THRESHOLD))
+
+
 def reaches(common: Column, a: Column, b: Column) -> Column:
     return (100 + THRESHOLD) * common >= THRESHOLD * (a + b)
 
@@ -154,7 +162,7 @@ def frequent_tokens(found: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, words: int, frequent: np.ndarray) -> DataFrame:
-    """(token, salt, n, cls) for the prefix tokens of every class; salt -1: not frequent."""
+    """(token, salt, n, cls, early) for the prefix tokens of every class; salt -1: not frequent."""
     late = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,22 +185,25 @@ def postings(docs: DataFrame, words: int, frequent: np.ndarray) -> DataFrame:
                     is_late = often[at] == tokens
                 order = np.concatenate([np.flatnonzero(~is_late), np.flatnonzero(is_late)])[:keep]
                 salt = np.where(is_late[order], cls % SALTS, -1)
+                early = np.arange(keep) <= n - least_of_smaller(n)
                 out.append(
-                    (tokens[order].view(np.int64), salt, np.full(keep, n), np.full(keep, cls))
+                    (tokens[order].view(np.int64), salt, np.full(keep, n), np.full(keep, cls), early)
                 )
             if out:
-                token, salt, n, cls = (np.concatenate(c) for c in zip(*out))
+                token, salt, n, cls, early = (np.concatenate(c) for c in zip(*out))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token, pa.int64()), pa.array(salt, pa.int32()),
-                     pa.array(n, pa.int64()), pa.array(cls, pa.int64())],
-                    names=["token", "salt", "n", "cls"],
+                     pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(early)],
+                    names=["token", "salt", "n", "cls", "early"],
                 )
 
-    return docs.select(text_of().alias("text")).mapInArrow(tidy(prefixes), "token long, salt int, n long, cls long")
+    return docs.select(text_of().alias("text")).mapInArrow(
+        tidy(prefixes), "token long, salt int, n long, cls long, early boolean"
+    )
 
 
 def lists(entries: DataFrame) -> DataFrame:
-    """Lists of tokens that more than one class has: (token, cls, n, head).
+    """Lists of tokens that more than one class has: (token, cls, n, early, head).
 
     Entries come sorted by token, salt and size and are read as a stream. The head is the
     first class of about the member's size, so the two may be similar by size. Each part
@@ -201,10 +212,12 @@ def lists(entries: DataFrame) -> DataFrame:
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows of the last list that the next batch may go on with, and whether it was given out
-        kept = np.zeros((0, 4), np.int64)
+        kept = np.zeros((0, 5), np.int64)
         given = False
         for batch in batches:
-            rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
+            rows = np.stack(
+                [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5)], axis=1
+            )
             yield from lists_of(np.concatenate([kept, rows]), len(kept) if given else 0)
             rows = np.concatenate([kept, rows])
             last = rows[-1]
@@ -219,7 +232,7 @@ def lists(entries: DataFrame) -> DataFrame:
 
     def lists_of(rows: np.ndarray, told: int) -> Iterator[pa.RecordBatch]:
         """``told`` rows at the front were given out before."""
-        token, salt, n, cls = rows.T
+        token, salt, n, cls, early = rows.T
         if not len(token):
             return
         same = (token[1:] == token[:-1]) & (salt[1:] == salt[:-1])
@@ -236,14 +249,15 @@ def lists(entries: DataFrame) -> DataFrame:
         wanted[:told] = False
         if wanted.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[wanted]) for x in (token, cls, n, head)], names=["token", "cls", "n", "head"]
+                [pa.array(x[wanted]) for x in (token, cls, n, early > 0, head)],
+                names=["token", "cls", "n", "early", "head"],
             )
 
     spark = entries.sparkSession
     return (
         entries.repartition(shuffle_partitions(spark), "token", "salt")
         .sortWithinPartitions("token", "salt", "n", "cls")
-        .mapInArrow(tidy(stream), "token long, cls long, n long, head long")
+        .mapInArrow(tidy(stream), "token long, cls long, n long, early boolean, head long")
     )
 
 
@@ -341,10 +355,14 @@ def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, words: int) -
     )
 
 
+def with_members(groups: DataFrame) -> DataFrame:
+    """A row (grp, cls, members) per class, joined here where rows are few."""
+    return groups.join(groups.groupBy("grp").agg(F.count("*").alias("members")), "grp")
+
+
 def towards_largest(listed: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFrame:
     """For each group the most promising pairs with the largest groups on its lists."""
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
-    in_list = stored(listed.select("token", "cls").join(groups, "cls").join(sizes, "grp"), "matrix")
+    in_list = stored(listed.select("token", "cls").join(with_members(groups), "cls"), "matrix")
     largest = in_list.groupBy("token").agg(F.max(F.struct("members", "grp", "cls")).alias("top"))
     pairs = (
         in_list.join(largest, "token")
@@ -370,21 +388,26 @@ def open_groups(listed: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFr
     The smaller group asks the larger, of equals the one with the smaller number. A list
     holds each group once for each class of sizes, so lists of similar documents don't pair
     up. A class asks only for members of its own class of sizes and the two beside it, for
-    a partner is in the same list and in one of these.
+    a partner is in the same list and in one of these. With a late token it asks only for
+    members that have the token early and aren't larger, with an early one for late members
+    that aren't smaller: ``early`` is part of the join's key, so late ones never meet.
     """
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
+    sized = with_members(groups)
     in_list = stored(
-        listed.select("token", "cls", "n", size_class(F.col("n")).alias("of_size"))
-        .join(groups, "cls")
-        .join(sizes, "grp"),
+        listed.select("token", "cls", "n", "early", size_class(F.col("n")).alias("of_size")).join(sized, "cls"),
         "matrix",
     )
-    columns = in_list.groupBy("token", F.col("of_size").alias("size"), F.col("grp").alias("other")).agg(
-        F.max("members").alias("others"), F.min("n").alias("least"), F.max("n").alias("most")
-    )
+    columns = in_list.groupBy(
+        "token", F.col("of_size").alias("size"), "early", F.col("grp").alias("other")
+    ).agg(F.max("members").alias("others"), F.min("n").alias("least"), F.max("n").alias("most"))
+    both = F.array(F.lit(True), F.lit(False))
     asked = (
-        in_list.withColumn("size", F.explode(F.array(*[F.col("of_size") + i for i in (-1, 0, 1)])))
-        .join(columns, ["token", "size"])
+        in_list.withColumnRenamed("early", "own_early")
+        .withColumn("size", F.explode(F.array(*[F.col("of_size") + i for i in (-1, 0, 1)])))
+        .withColumn("early", F.explode(F.when(F.col("own_early"), both).otherwise(F.array(F.lit(True)))))
+        .join(columns, ["token", "size", "early"])
+        .filter(F.col("own_early") | (F.col("least") <= F.col("n")))
+        .filter(F.col("early") | (F.col("most") >= F.col("n")))
         .filter(
             (F.col("others") > F.col("members"))
             | ((F.col("others") == F.col("members")) & (F.col("other") > F.col("grp")))
@@ -393,7 +416,7 @@ def open_groups(listed: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFr
         .select("cls", "other", "size")
         .distinct()
     )
-    matrix = blocks(groups.join(sizes, "grp").join(bits, "cls"))
+    matrix = blocks(sized.join(bits, "cls"))
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
