@@ -115,6 +115,8 @@ def test_ngram_join(documents):
     table = awkward() + [(100 + i, edited(base, i, i % 9)) for i in range(60)]
     table += [(200 + i, passage + " " + prose(20 + 5 * i, 300 + i)) for i in range(30)]
     table += [(300 + i, edited(passage, i, 1 + i % 2)) for i in range(20)]
+    # filled by the passage to between three quarters and nine tenths: late and early tokens
+    table += [(400 + i, passage + " " + prose(3 + i % 16, 700 + i)) for i in range(48)]
     sets = [shingle_set(t) for _, t in table]
     part = list(range(len(table)))
     for i in range(len(table)):
