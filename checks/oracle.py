@@ -59,6 +59,13 @@ TOKENS = (
 ALIKE = ("na", "Null", " NA", "none", "-", "0")
 TOKEN_LIST, ALIKE_LIST = str(list(TOKENS)), str(list(ALIKE))
 
+_CUSTOMERS = """
+        SELECT c_custkey AS customer_id, c_custkey - c_custkey % 2 AS customer_unique_id,
+               'CITY_' || cast(c_custkey % 101 AS varchar) AS customer_city,
+               CASE WHEN c_custkey % 251 = 5 THEN 'ST_FEW'
+                    ELSE 'ST_' || cast(c_custkey % 20 AS varchar) END AS customer_state
+        FROM customer"""
+
 ORDER_TIMES = (
     "order_purchase_timestamp",
     "order_approved_at",
@@ -113,12 +120,8 @@ CTES = {
                CASE WHEN p_partkey % 13 <> 0 AND NOT starts_with(category, 'PROMO')
                     THEN 'en_' || lower(category) END AS product_category_name_english
         FROM part_categories""",
-    "s_customers": """
-        SELECT c_custkey AS customer_id, c_custkey - c_custkey % 2 AS customer_unique_id,
-               'CITY_' || cast(c_custkey % 101 AS varchar) AS customer_city,
-               CASE WHEN c_custkey % 251 = 5 THEN 'ST_FEW'
-                    ELSE 'ST_' || cast(c_custkey % 20 AS varchar) END AS customer_state
-        FROM customer WHERE c_custkey % 199 <> 11""",
+    "all_customers": _CUSTOMERS,
+    "s_customers": f"{_CUSTOMERS} WHERE c_custkey % 199 <> 11",
     "s_payments": """
         SELECT CASE WHEN o_orderkey % 1013 = 9 THEN -o_orderkey ELSE o_orderkey END AS order_id,
                n AS payment_sequential
@@ -161,6 +164,9 @@ CTES = {
     "raw_customers": """
         SELECT c.* FROM s_customers c CROSS JOIN range(2) AS copies(n)
         WHERE n = 0 OR customer_id % 10 = 0""",
+    "all_raw_customers": """
+        SELECT c.* FROM all_customers c CROSS JOIN range(2) AS copies(n)
+        WHERE n = 0 OR customer_id % 10 = 0""",
     "raw_payments": """
         SELECT p.* FROM s_payments p CROSS JOIN range(2) AS copies(n)
         WHERE n = 0 OR order_id % 103 = 0""",
@@ -408,12 +414,12 @@ def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-def _profile(table: str) -> str:
+def _profile(table: str, cte: str = "") -> str:
     return _union(
         [
             f"SELECT {position} AS position, '{name}' AS column_name, '{kind}' AS data_type, "
             f"count({name}) AS non_null_count, count(*) - count({name}) AS missing_count "
-            f"FROM {RAW_CTE[table]}"
+            f"FROM {cte or RAW_CTE[table]}"
             for position, (name, kind) in enumerate(RAW_COLUMNS[table], start=1)
         ]
     )
@@ -460,6 +466,7 @@ def _bodies(checked: str = "f_") -> dict[str, str]:
     category = "product_category_name_english"
     return {
         **{f"profile_{table}": _profile(table) for table in RAW_COLUMNS},
+        "profile_customers": _profile("customers", "all_raw_customers"),
         "duplicate_rows": _union([_duplicates(table) for table in RAW_COLUMNS]),
         "profile_counted": _union(
             [f"SELECT '{table}' AS table_name, * FROM ({_profile(table)})" for table in RAW_COLUMNS]

@@ -69,6 +69,9 @@ ON_TEXT: dict[str, Callable[[Tables], DataFrame]] = {
 # Checks of keys, which run on tables that break them.
 KEY_CHECKS = ("dq_null_keys", "dq_orphans", "dq_key_audit")
 
+# Queries on all customers, also those that the other queries go without.
+OF_ALL_CUSTOMERS = ("profile_customers",)
+
 ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_row_counts": quality.row_counts,
     "dq_null_keys": quality.null_keys,
@@ -112,6 +115,10 @@ def all_queries() -> dict[str, Query]:
     repeated = {**star.STAGING, "reviews": star.reviews}
     groups = (
         (star.RAW, ON_RAW),
+        (
+            {**star.RAW, "customers": star.all_raw_customers},
+            {name: ON_RAW[name] for name in OF_ALL_CUSTOMERS if name in ON_RAW},
+        ),
         ({"order_text": star.order_text}, ON_TEXT),
         (repeated, ON_REPEATED_REVIEWS),
         (star.STAGING, ON_STAGING),

@@ -54,10 +54,9 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(path)
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some customers are missing, so their orders have none; one state has few."""
-    known = _read(spark, sf_dir, "customer").filter("c_custkey % 199 <> 11")
-    return known.selectExpr(
+def all_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One state has few."""
+    return _read(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS customer_id",
         "c_custkey - c_custkey % 2 AS customer_unique_id",
         "concat('CITY_', c_custkey % 101) AS customer_city",
@@ -65,6 +64,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some customers are missing, so their orders have none."""
+    return all_customers(spark, sf_dir).filter("customer_id % 199 <> 11")
+
+
 def orders_without_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     def after(seconds: str) -> str:
         return f"timestampadd(SECOND, {seconds}, o_orderdate)"
@@ -198,6 +202,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_copies(customers(spark, sf_dir), "customer_id % 10 = 0")
 
 
+def all_raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_copies(all_customers(spark, sf_dir), "customer_id % 10 = 0")
+
+
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_copies(payments(spark, sf_dir), "order_id % 103 = 0")
 

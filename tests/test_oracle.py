@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the given tables."""
 
 import os
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -34,3 +35,20 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def star_rows(spark, folder):
+    """Customers 10 to 12 with an order each, delivered in different months; 11 is of the missing ones."""
+    customers = spark.createDataFrame([(10,), (11,), (12,)], "c_custkey bigint")
+    customers.write.parquet(f"{folder}/customer.parquet")
+    orders = [(n, n, "F", datetime(2024, n - 9, 5)) for n in (10, 11, 12)]
+    spark.createDataFrame(
+        orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz"
+    ).write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_profile_of_every_customer(spark, tmp_path):
+    """Customer 10 is repeated."""
+    found = contract.queries()["profile_customers"](spark, star_rows(spark, tmp_path))
+    assert [r["non_null_count"] for r in found.collect()] == [4, 4, 4, 4]
