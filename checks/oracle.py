@@ -351,6 +351,13 @@ CTES["segments"] = """
                     ELSE 'Standard Seller' END AS seller_segment
         FROM sellers"""
 
+# Buyers and cohorts of all customers.
+_OF_ALL = {"s_customers": "all_customers", "buyers": "all_buyers", "first_months": "all_first_months"}
+for _name in ("buyers", "first_months", "cohorts"):
+    CTES[f"all_{_name}"] = re.sub(
+        rf"\b({'|'.join(_OF_ALL)})\b", lambda found: _OF_ALL[found[0]], CTES[_name]
+    )
+
 # --- queries ----------------------------------------------------------------------
 
 # Columns and Spark type names of the raw tables, in order.
@@ -457,8 +464,11 @@ def _matrix() -> str:
     return f"SELECT cohort_month, cohort_size, {months} FROM retention GROUP BY ALL"
 
 
-def _bodies(checked: str = "f_") -> dict[str, str]:
-    """The queries; ``checked`` is the prefix of the tables whose keys are checked."""
+def _bodies(checked: str = "f_", of_all: str = "all_") -> dict[str, str]:
+    """The queries; ``checked`` is the prefix of the tables whose keys are checked.
+
+    ``of_all`` is the prefix of the tables of all customers.
+    """
     nullified = ", ".join(
         f"CASE WHEN {name} NOT IN ({str(list(TOKENS))[1:-1]}) THEN {name} END AS {name}"
         for name in ("order_status", "order_approved_at", "order_delivered_customer_date")
@@ -521,7 +531,7 @@ def _bodies(checked: str = "f_") -> dict[str, str]:
         "delivery_review_impact": "SELECT * FROM impact",
         "state_logistics_risk": "SELECT * FROM state_risk",
         "customer_orders": "SELECT * FROM buyers",
-        "customer_cohorts": "SELECT * FROM cohorts",
+        "customer_cohorts": f"SELECT * FROM {of_all}cohorts",
         "cohort_retention": "SELECT * FROM retention",
         "cohort_retention_matrix": _matrix(),
         "delivery_performance_top20": """
@@ -613,4 +623,4 @@ def oracle_queries() -> dict[str, str]:
 def staged_queries() -> dict[str, str]:
     """The same queries for a connection that already has the staging tables."""
     given = frozenset(STAGING_CTE.values())
-    return {name: _with_needed(body, given) for name, body in _bodies("s_").items()}
+    return {name: _with_needed(body, given) for name, body in _bodies("s_", "").items()}

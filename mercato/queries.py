@@ -70,7 +70,7 @@ ON_TEXT: dict[str, Callable[[Tables], DataFrame]] = {
 KEY_CHECKS = ("dq_null_keys", "dq_orphans", "dq_key_audit")
 
 # Queries on all customers, also those that the other queries go without.
-OF_ALL_CUSTOMERS = ("profile_customers",)
+OF_ALL_CUSTOMERS = ("profile_customers", "customer_cohorts")
 
 ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_row_counts": quality.row_counts,
@@ -122,6 +122,10 @@ def all_queries() -> dict[str, Query]:
         ({"order_text": star.order_text}, ON_TEXT),
         (repeated, ON_REPEATED_REVIEWS),
         (star.STAGING, ON_STAGING),
+        (
+            {**star.STAGING, "customers": star.all_customers},
+            {name: ON_STAGING[name] for name in OF_ALL_CUSTOMERS if name in ON_STAGING},
+        ),
         (star.FAULTY, {name: ON_STAGING[name] for name in KEY_CHECKS}),
     )
     return {

@@ -52,3 +52,10 @@ def test_profile_of_every_customer(spark, tmp_path):
     """Customer 10 is repeated."""
     found = contract.queries()["profile_customers"](spark, star_rows(spark, tmp_path))
     assert [r["non_null_count"] for r in found.collect()] == [4, 4, 4, 4]
+
+
+def test_cohorts_of_every_customer(spark, tmp_path):
+    """Customers 10 and 11 are one person."""
+    found = contract.queries()["customer_cohorts"](spark, star_rows(spark, tmp_path))
+    of_order = {r["order_id"]: (r["customer_unique_id"], r["cohort_index"]) for r in found.collect()}
+    assert of_order == {10: (10, 0), 11: (10, 1), 12: (12, 0)}
