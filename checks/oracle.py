@@ -585,7 +585,7 @@ def _bodies(checked: str = "f_", of_all: str = "all_") -> dict[str, str]:
         "state_logistics_risk_ranked": "SELECT * FROM state_risk",
         "customer_orders_top20": """
             SELECT * FROM buyers ORDER BY order_purchase_timestamp, order_id LIMIT 20""",
-        "delivered_order_count": "SELECT count(*) AS delivered_order_count FROM buyers",
+        "delivered_order_count": f"SELECT count(*) AS delivered_order_count FROM {of_all}buyers",
         "cohort_counts": "SELECT * FROM cohort_cells",
         "customer_cohorts_top20": """
             SELECT * FROM cohorts ORDER BY cohort_month, customer_unique_id, order_id LIMIT 20""",

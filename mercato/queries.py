@@ -70,7 +70,7 @@ ON_TEXT: dict[str, Callable[[Tables], DataFrame]] = {
 KEY_CHECKS = ("dq_null_keys", "dq_orphans", "dq_key_audit")
 
 # Queries on all customers, also those that the other queries go without.
-OF_ALL_CUSTOMERS = ("profile_customers", "customer_cohorts")
+OF_ALL_CUSTOMERS = ("profile_customers", "customer_cohorts", "delivered_order_count")
 
 ON_STAGING: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_row_counts": quality.row_counts,

@@ -59,3 +59,8 @@ def test_cohorts_of_every_customer(spark, tmp_path):
     found = contract.queries()["customer_cohorts"](spark, star_rows(spark, tmp_path))
     of_order = {r["order_id"]: (r["customer_unique_id"], r["cohort_index"]) for r in found.collect()}
     assert of_order == {10: (10, 0), 11: (10, 1), 12: (12, 0)}
+
+
+def test_delivered_orders_of_every_customer(spark, tmp_path):
+    found = contract.queries()["delivered_order_count"](spark, star_rows(spark, tmp_path))
+    assert [tuple(r) for r in found.collect()] == [(3,)]
