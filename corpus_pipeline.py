@@ -13,7 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import mixing, ngram_join, packing, suffix_dedup, toxicity
-from mercato.llm.shared import checkpoint_dir, read, recorded_tables, remove_tables, ship, text_of
+from mercato.llm.shared import (
+    WORD,
+    checkpoint_dir,
+    read,
+    recorded_tables,
+    remove_tables,
+    ship,
+    text_of,
+)
 
 # By application: the stage last called and its intermediate tables.
 _STORED: dict[str, tuple[str, list[str]]] = {}
@@ -65,17 +73,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         .select(F.xxhash64("first.doc_id", "first.cls").alias("key"))
     )
     # The row travels as one value, so its columns may have any names. Texts are shuffled
-    # once, by a hash of id and class, and are in its order for the choice of one.
-    keyed = docs.select(F.struct("*").alias("doc"), ngram_join.class_of(text_of()).alias("cls"))
-    wordless = F.col("cls") == F.lit(ngram_join.EMPTY_CLASS)
+    # once, by a hash of id and class, and are in its order for the choice of one. Which ones
+    # are without words Spark tells itself: a filter by class would be a second Python function
+    # in each task, with a worker of its own.
+    wordless = ~text_of().rlike(WORD)
+    keyed = docs.filter(~wordless).select(
+        F.struct("*").alias("doc"), ngram_join.class_of(text_of()).alias("cls")
+    )
     stay = (
-        keyed.filter(~wordless)
-        .select("doc", F.xxhash64(F.col("doc.doc_id").cast("long"), "cls").alias("key"))
+        keyed.select("doc", F.xxhash64(F.col("doc.doc_id").cast("long"), "cls").alias("key"))
         .join(kept, "key", "left_semi")
         .groupBy("key")
         .agg(F.min_by("doc", F.col("doc.text")).alias("doc"))
     )
-    rows = stay.select("doc").unionByName(keyed.filter(wordless).select("doc"))
+    rows = stay.select("doc").unionByName(docs.filter(wordless).select(F.struct("*").alias("doc")))
     return rows.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -559,10 +559,6 @@ def joined(docs: DataFrame, *, words: int = 5) -> DataFrame:
     )
 
 
-# The class of documents without words.
-EMPTY_CLASS = class_id(shingles(""))
-
-
 def class_of(text: Column) -> Column:
     """The class of a text's shingle set."""
 

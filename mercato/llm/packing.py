@@ -307,9 +307,12 @@ def pack(tokens: DataFrame, *, capacity: int = 4096) -> DataFrame:
         ).alias("shift"),
     )
     counts = {r["length"]: r["n"] for r in tokens.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    # From Arrow, for rows of a list go through Python workers of a kind of their own, which
+    # stand on every executor beside the others.
+    names = ("of_length", "first", "n", "bin", "per_bin", "base")
+    columns = list(zip(*best_fit_plan(counts, capacity))) or [()] * len(names)
     plan = spark.createDataFrame(
-        best_fit_plan(counts, capacity),
-        "of_length long, first long, n long, bin long, per_bin long, base long",
+        pa.table({name: pa.array(c, pa.int64()) for name, c in zip(names, columns)})
     )
     within = Window.partitionBy("length", "bucket").orderBy("row", "piece")
     ranked = (

@@ -155,3 +155,23 @@ def test_run_leaves_only_what_the_stages_wrote(llm):
     before = {*folder.glob("*")}
     assert corpus_pipeline.run(llm, "/root/testdata/sf0.001").count() > 0
     assert {*folder.glob("*")} == before
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_run_one_python_function(llm, documents, tmp_path):
+    """A second one has a worker of its own, which counts against the executor from then on."""
+    docs = documents((1, prose(60, 1)), (2, prose(60, 1)), (3, prose(60, 2)), (4, " \n"), (5, None))
+    kept = corpus_pipeline.drop_near_copies(llm, docs, str(tmp_path))
+    assert plan_of(kept).count("ArrowEvalPython") == 1
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 5]
+
+
+def test_the_plan_of_sequences_needs_no_python(llm, documents, tmp_path):
+    docs = documents((1, prose(60, 1)), (2, prose(3000, 2)))
+    docs.write.parquet(f"{tmp_path}/docs")
+    packed = corpus_pipeline.pack_sequences(llm, llm.read.parquet(f"{tmp_path}/docs"), str(tmp_path))
+    assert "ExistingRDD" not in plan_of(packed)
+    assert packed.agg({"length": "max"}).first()[0] <= 4096
